@@ -410,12 +410,13 @@ def q_total_order_mae(spark, sf):
     return round_doubles(J.total_order_mae(test_predictions(spark, sf)))
 
 
-def _mfw_sql(src: str, group: str = "") -> str:
+def _mfw_sql(src: str, group: str = "", round_out: bool = True) -> str:
     g = f"{group}, " if group else ""
+    out = r if round_out else (lambda x: x)
     parts = []
     for m, d in J.PER_TARGET_DIGITS.items():
-        parts.append(f"{r(f'avg({S.r(m, d)})')} AS macro_{m}")
-        parts.append(f"{r(f'sum(prevalence * {S.r(m, d)}) / sum(prevalence)')} AS fw_{m}")
+        parts.append(f"{out(f'avg({S.r(m, d)})')} AS macro_{m}")
+        parts.append(f"{out(f'sum(prevalence * {S.r(m, d)}) / sum(prevalence)')} AS fw_{m}")
     return f"SELECT {g}{', '.join(parts)} FROM {src}" + (f" GROUP BY {group}" if group else "")
 
 
