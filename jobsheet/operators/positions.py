@@ -209,3 +209,59 @@ def eda_order_features(pos: DataFrame, headers: DataFrame, cfg: OrderConfig,
          for c in eda_ratio_ccs(cfg)}
     g = g.withColumns(r)
     return headers.select(key, F.coalesce(F.col("make"), F.lit("unknown")).alias("make")).join(g, key, "inner")
+
+
+def nested_order_features(orders: DataFrame, cfg: OrderConfig, positions_col: str = "positions",
+                          key: str = "order_id") -> DataFrame:
+    """C1-C6 computed inside each order document with higher-order functions:
+    no shuffle, no state - the form used for streams of whole orders.
+
+    ``positions`` holds raw ``struct<text, totalPrice, totalTime,
+    genericCostCenter>`` in position order.
+    """
+    ps = F.filter(F.transform(positions_col, lambda p: F.struct(
+        C.clean_text(p["text"]).alias("text"), C.clean_price(p["totalPrice"]).alias("price"),
+        C.clean_time(p["totalTime"]).alias("time"),
+        C.clean_cost_center(p["genericCostCenter"], cfg.unknown_cc).alias("cc"))),
+        lambda p: (p["text"] != "") | (p["price"] != 0) | (p["time"] != 0))
+    n = F.size(ps)
+
+    def total(f, pred=None):
+        return F.aggregate(ps, F.lit(0.0), lambda acc, p: acc + (F.when(pred(p), p[f]).otherwise(0.0) if pred else p[f]))
+
+    def count(pred):
+        return F.aggregate(ps, F.lit(0).cast("long"), lambda acc, p: acc + F.when(pred(p), 1).otherwise(0))
+
+    times = F.array_sort(F.transform(ps, lambda p: p["time"]))
+    half = (n / 2).cast("int")
+    median = F.when(n == 0, F.lit(0.0)).when(n % 2 == 1, F.element_at(times, half + 1)).otherwise(
+        (F.element_at(times, F.greatest(half, F.lit(1))) + F.element_at(times, half + 1)) / 2)
+    tt, tp = total("time"), total("price")
+    mean_t = F.when(n > 0, tt / n).otherwise(0.0)
+    mean_p = F.when(n > 0, tp / n).otherwise(0.0)
+
+    def std(f, mu):
+        return F.when(n > 0, F.sqrt(F.aggregate(ps, F.lit(0.0), lambda acc, p: acc + (p[f] - mu) * (p[f] - mu)) / n)) \
+            .otherwise(0.0)
+    cols = {
+        "n_positions": n.cast("long"),
+        "n_useful": count(lambda p: (p["price"] > 0) | (p["time"] > 0)),
+        "n_zero_time": count(lambda p: p["time"] == 0),
+        "n_zero_price": count(lambda p: p["price"] == 0),
+        "total_time": tt, "total_price": tp,
+        "max_time": F.coalesce(F.array_max(F.transform(ps, lambda p: p["time"])), F.lit(0.0)),
+        "mean_time": mean_t, "median_time": median,
+        "max_price": F.coalesce(F.array_max(F.transform(ps, lambda p: p["price"])), F.lit(0.0)),
+        "mean_price": mean_p, "std_time": std("time", mean_t), "std_price": std("price", mean_p),
+    }
+
+    def is_cc(c):
+        return lambda p: p["cc"] == c
+    for c in cfg.cost_centers:
+        cols[f"time_{c}"] = total("time", is_cc(c))
+        cols[f"price_{c}"] = total("price", is_cc(c))
+        cols[f"n_{c}"] = count(is_cc(c))
+    full_text = F.array_join(F.transform(ps, lambda p: F.lower(p["text"])), " ")
+    for name, pat in cfg.keyword_flags.items():
+        cols[name] = search(full_text, pat).cast("int")
+    return orders.select(key, *[v.alias(k) for k, v in cols.items()])
