@@ -77,13 +77,19 @@ def macro_and_fw(per_target: DataFrame, group: Sequence[str] = (), weight: str =
     return per_target.groupBy(*group).agg(*aggs)
 
 
-def per_target_report(pred: DataFrame, group: Sequence[str]) -> DataFrame:
-    """J2 + J3 + prevalence per group (the rows of the evaluation report)."""
-    c = clf_metrics(pred, group)
-    r = pred.groupBy(*group).agg(F.avg(F.abs(F.col("hours") - F.col("pred_hours"))).alias("mae_e2e"),
-                                 F.avg(F.col("y").cast("double")).alias("prevalence"),
-                                 F.sum("y").alias("n_pos"))
-    return c.join(r, list(group))
+def per_target_report(pred: DataFrame, group: Sequence[str], y: str = "y", active: str = "active") -> DataFrame:
+    """J2 + J3 + prevalence per group (the rows of the evaluation report),
+    all from ONE aggregation."""
+    yt, yp = F.col(y) == 1, F.col(active)
+    c = pred.groupBy(*group).agg(
+        F.count_if(yt & yp).alias("tp"), F.count_if(~yt & yp).alias("fp"),
+        F.count_if(yt & ~yp).alias("fn"), F.count_if(~yt & ~yp).alias("tn"),
+        F.avg(F.abs(F.col("hours") - F.col("pred_hours"))).alias("mae_e2e"),
+        F.avg(F.col(y).cast("double")).alias("prevalence"), F.sum(y).alias("n_pos"))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return c.select(*group, "tp", "fp", "fn", "tn", ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"),
+                    f1(tp, fp, fn).alias("f1"), recall(tp, fn).alias("recall"),
+                    precision(tp, fp).alias("precision"), "mae_e2e", "prevalence", "n_pos")
 
 
 def metric_report_rows(per_target: DataFrame, group: Sequence[str] = ()) -> DataFrame:

@@ -106,12 +106,13 @@ def soft_vote(*probs: Column) -> Column:
 
 
 def select_best_model(metrics: DataFrame, group: Sequence[str], model: str = "model",
-                      metric: str = "f1", priority: Sequence[str] = ()) -> DataFrame:
+                      metric: str = "f1", priority: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
     """per group the model with the highest metric; ties go to the model
-    listed first in ``priority``."""
+    listed first in ``priority``.  ``carry`` columns travel with the winner
+    (no join back)."""
     pr = F.array_position(F.array(*[F.lit(m) for m in priority]), F.col(model))
     return metrics.groupBy(*group).agg(
-        F.max_by(F.struct(F.col(model).alias("model"), F.col(metric).alias(metric)),
+        F.max_by(F.struct(F.col(model).alias("model"), F.col(metric).alias(metric), *[F.col(c) for c in carry]),
                  F.struct(F.col(metric), -pr)).alias("b")).select(*group, "b.*")
 
 

@@ -22,6 +22,7 @@ from jobsheet.plans import sqlbase as S
 from jobsheet.plans.q_orders import features_frame
 from jobsheet.plans.q_profile import ROLL
 from jobsheet.plans.registry import query, round_doubles
+from jobsheet.session import checkpoint_dir
 from jobsheet.sources import order_view as V
 
 CFG = part_catalog()
@@ -33,9 +34,13 @@ STEP99 = (0.99 - 0.01) / 98
 
 # ====================================================================== Spark frames
 def splits_frame(spark, sf) -> DataFrame:
+    """The split assignment, materialised once per call (a reliable
+    checkpoint in the shared checkpoint folder): every later branch reads
+    it instead of re-deriving it, and the lineage is cut."""
+    checkpoint_dir(spark)
     roll = L.target_rollups(V.targets_wide(spark, sf, CFG), CFG.targets)
     roll = roll.withColumn("band", L.complexity_band(F.col("n_active")))
-    return E.stratified_split(roll, "band")
+    return E.stratified_split(roll, "band").checkpoint()
 
 
 def _u(k) -> "F.Column":
@@ -58,7 +63,7 @@ def scores_wide(spark, sf) -> DataFrame:
     return d.select("order_id", "split", "target", (F.col("hours") > 0).cast("int").alias("y"), "hours",
                     (F.col("time_t") / 10.0).alias("dur"),
                     rnd(0.6 * share + 0.4 * _u(F.col("tidx")), 4).alias("p_lr"),
-                    rnd(0.4 * share + 0.6 * _u(F.col("tidx") + 17), 4).alias("p_gbt"))
+                    rnd(0.4 * share + 0.6 * _u(F.col("tidx") + 17), 4).alias("p_gbt")).checkpoint()
 
 
 def scores_long(spark, sf) -> DataFrame:
@@ -77,8 +82,7 @@ def best_thresholds(spark, sf) -> DataFrame:
 def chosen(spark, sf) -> DataFrame:
     """F6 winner per target with its F1-optimal threshold."""
     bt = best_thresholds(spark, sf)
-    best = TH.select_best_model(bt, ["target"], priority=MODELS)
-    return best.join(bt.select("model", "target", "threshold"), ["model", "target"])
+    return TH.select_best_model(bt, ["target"], priority=MODELS, carry=("threshold",))
 
 
 def test_predictions(spark, sf) -> DataFrame:

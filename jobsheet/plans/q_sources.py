@@ -235,3 +235,50 @@ def q_union_tables(spark, sf):
     a = best_thresholds(spark, sf).select(F.lit("val").alias("split"), "target", "model", "threshold")
     b = chosen(spark, sf).select(F.lit("chosen").alias("split"), "target", "model", "threshold")
     return round_doubles(a.unionByName(b))
+
+
+@query("left_join_index", lambda: S.with_(S.HDR, S.targets_wide(CFG)) + """
+SELECT h.order_id, h.make, """ + ", ".join(f"tw.{t}" for t in CFG.targets) + """
+FROM hdr h LEFT JOIN tw ON h.order_id = tw.order_id""", "I")
+def q_left_join_index(spark, sf):
+    """Order make joined with its targets (left join on the order id)."""
+    return V.headers(spark, sf).select("order_id", "make").join(V.targets_wide(spark, sf, CFG), "order_id", "left")
+
+
+def _sort_report_sql():
+    from jobsheet.plans.registry import REGISTRY
+    return f"""SELECT target, f1, mae, CAST(row_number() OVER (ORDER BY f1 DESC, target) AS INTEGER) AS rank
+FROM ({REGISTRY['rule_scores_per_target'].sql()})"""
+
+
+@query("sort_report", _sort_report_sql, "I")
+def q_sort_report(spark, sf):
+    """The per-target rule report sorted by F1 (rank made explicit; a
+    single small partition - one row per target)."""
+    from pyspark.sql import Window
+    from jobsheet.plans.q_profile import q_rule_scores_per_target
+    s = q_rule_scores_per_target(spark, sf).select("target", "f1", "mae")
+    return s.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("f1"), "target")))
+
+
+@query("gen_synthetic_orders", None, "A")
+def q_gen_synthetic_orders(spark, sf):
+    """One synthetic order document per ``orders`` key (the generator's
+    distributional contract), summarised per order."""
+    from jobsheet.sources.synthetic import synthetic_orders
+    keys = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"))
+    d = synthetic_orders(keys)
+    vals = F.map_values("output")
+    return d.select("order_id", F.col("input.make").alias("make"),
+                    F.size("input.calculatedPositions").alias("n_positions"),
+                    F.size(F.filter(vals, lambda v: v > 0)).alias("n_active"),
+                    F.aggregate(vals, F.lit(0.0), lambda a, v: a + v).alias("total_hours"))
+
+
+@query("gen_monitor_batch", None, "A")
+def q_gen_monitor_batch(spark, sf):
+    """One monitoring request per ``orders`` key, featurised per document."""
+    from jobsheet.sources.synthetic import monitor_batch
+    keys = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"))
+    b = monitor_batch(keys).select("order_id", F.col("input.calculatedPositions").alias("positions"))
+    return P.nested_order_features(b, part_catalog()).select("order_id", "n_positions", "total_time", "total_price")

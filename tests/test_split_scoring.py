@@ -64,3 +64,23 @@ def test_scored_invariants(spark):
     assert tp.where(~F.col("active") & (F.col("pred_hours") != 0)).count() == 0
     per = tp.groupBy("order_id").agg(F.count("*").alias("k"), F.collect_set("target").alias("ts"))
     assert per.where(F.col("k") != 6).count() == 0
+
+
+def test_synthetic_generator_contract(spark):
+    from jobsheet.sources import synthetic as SY
+    keys = spark.range(0, 3000).withColumnRenamed("id", "order_id")
+    d = SY.synthetic_orders(keys).cache()
+    pos = d.select("order_id", F.explode("input.calculatedPositions").alias("p"))
+    assert d.where(~F.col("input.make").isin(list(SY.SYN_MAKES))).count() == 0
+    n = d.select(F.size("input.calculatedPositions").alias("n")).agg(F.min("n"), F.max("n")).first()
+    assert n[0] >= 1 and n[1] <= 15
+    assert pos.where((F.col("p.genericCostCenter") == "material") & (F.col("p.totalTime") != 0)).count() == 0
+    hail = d.where(F.exists("input.calculatedPositions", lambda p: p["text"].contains("HAGEL")
+                            | p["text"].contains("DELLEN")))
+    assert hail.where(F.col("output")["hailrepair"] <= 0).count() == 0
+    # activity ~15% for a target without a hail rule
+    share = d.select(F.avg((F.col("output")["glas"] > 0).cast("double"))).first()[0]
+    assert 0.12 < share < 0.25
+    again = SY.synthetic_orders(keys.repartition(7))
+    flat = lambda x: x.select("order_id", "input", F.map_entries("output").alias("o"))
+    assert flat(again).exceptAll(flat(d)).count() == 0
