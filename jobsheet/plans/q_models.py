@@ -31,9 +31,19 @@ LCFG = LR.LearnerConfig(gbt_iter=10, gbt_depth=4, lr_max_iter=100, threads=4)
 r, big, q = S.r, S.big, S.q
 
 
+_PERSISTED: list[DataFrame] = []
+
+
+def _release():
+    """Unpersist the previous query's training data (one at a time)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
+
 def training_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
     """(order_id, split, y_<t>, h_<t>, features) persisted, plus the fitted
     vocabulary.  Vocabulary and idf are fitted on the training split only."""
+    _release()
     feats = features_frame(spark, sf)
     sp = splits_frame(spark, sf).select("order_id", "split")
     docs = feats.select("order_id", F.col("order_text").alias("text")).join(sp, "order_id")
@@ -49,7 +59,9 @@ def training_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
         .join(sp, "order_id").join(lab, "order_id")
     df = D.assemble(df, ["v_word", *num]).select("order_id", "split", *[f"y_{t}" for t in CFG.targets],
                                                   *[f"h_{t}" for t in CFG.targets], "features")
-    return df.persist(), vocab, ["v_word", *num]
+    df = df.persist()
+    _PERSISTED.extend([df, vocab])
+    return df, vocab, ["v_word", *num]
 
 
 def _weighted(train: DataFrame, t: str) -> DataFrame:
