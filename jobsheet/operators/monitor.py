@@ -111,16 +111,16 @@ def ks_two_sample(values: DataFrame, group: Sequence[str], sample: str, x: str,
     """Two-sample Kolmogorov-Smirnov statistic per group.
 
     ``sample`` holds 'a' / 'b'.  Counts per distinct value (partial
-    aggregation), cumulative ECDFs over the distinct values, max gap; the
-    drift flag compares with c(alpha) * sqrt((n+m)/(n*m))."""
+    aggregation), exact ECDFs from distributed running sums (no window over
+    a whole group), then the max gap; the drift flag compares with
+    c(alpha) * sqrt((n+m)/(n*m))."""
+    from jobsheet.operators.prefix import prefix_sums
     c = values.groupBy(*group, F.col(x).alias("x")).agg(
         F.count_if(F.col(sample) == "a").alias("ca"), F.count_if(F.col(sample) == "b").alias("cb"))
-    w = Window.partitionBy(*group).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*group)
-    c = c.withColumns({"fa": F.sum("ca").over(w), "fb": F.sum("cb").over(w),
-                       "na": F.sum("ca").over(wall), "nb": F.sum("cb").over(wall)})
-    g = c.groupBy(*group).agg(F.max(F.abs(F.col("fa") / F.col("na") - F.col("fb") / F.col("nb"))).alias("ks"),
-                              F.first("na").alias("n_a"), F.first("nb").alias("n_b"))
+    c = prefix_sums(c, group, "x", ["ca", "cb"])
+    g = c.groupBy(*group).agg(
+        F.max(F.abs(F.col("cum_ca") / F.col("tot_ca") - F.col("cum_cb") / F.col("tot_cb"))).alias("ks"),
+        F.first("tot_ca").alias("n_a"), F.first("tot_cb").alias("n_b"))
     crit = F.lit(c_alpha) * F.sqrt((F.col("n_a") + F.col("n_b")) / (F.col("n_a") * F.col("n_b")))
     return g.withColumn("critical", crit).withColumn("drift", F.col("ks") > F.col("critical"))
 

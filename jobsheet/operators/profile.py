@@ -265,14 +265,15 @@ def paint_time_regression(pos: DataFrame, long: DataFrame, cfg: OrderConfig, min
 def average_rank(df: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
     """Average rank (ties share the mean rank) of ``value`` within ``group``.
 
-    Ranks are computed on per-value counts (a partial aggregation), so the
-    window only sees distinct values per group; every row then joins back.
-    """
+    Per-value counts (a partial aggregation) get exact running sums from
+    :func:`jobsheet.operators.prefix.prefix_sums`, so a group with many
+    distinct values is spread over range chunks instead of one window task;
+    every row then joins back on (group, value)."""
+    from jobsheet.operators.prefix import prefix_sums
     vc = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    vc = vc.withColumn("_below", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    vc = vc.withColumn(out, F.col("_below") + (F.col("_c") + 1) / 2.0).drop("_c", "_below")
-    return df.join(vc, [*group, value])
+    ps = prefix_sums(vc, group, value, ["_c"])
+    ranks = ps.select(*group, value, (F.col("cum__c") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out))
+    return df.join(ranks, [*group, value])
 
 
 def spearman_matrix(feats: DataFrame, long: DataFrame, feature_cols: Sequence[str],

@@ -80,24 +80,31 @@ def recall_floor_threshold(scores: DataFrame, group: Sequence[str], min_recall:
                     F.when(F.col("_n_ok") > 0, "OK").otherwise("MIN_RECALL_UNACHIEVABLE").alias("status"))
 
 
-def pr_points(scores: DataFrame, group: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
-    """precision / recall at every distinct score (descending cut)."""
+def _pr_counts(scores: DataFrame, group: Sequence[str], y: str, p: str) -> DataFrame:
+    """Counts per distinct score with exact descending running sums
+    (distributed; a group with many distinct scores spans range chunks)."""
+    from jobsheet.operators.prefix import prefix_sums
     c = scores.groupBy(*group, F.col(p).alias("threshold")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    w = Window.partitionBy(*group).orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(*group)
-    c = c.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w), "P": F.sum("pos").over(wall)})
-    return c.select(*group, "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                    F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(0.0)).alias("recall"))
+    return prefix_sums(c, group, "threshold", ["pos", "neg"], descending=True)
+
+
+def pr_points(scores: DataFrame, group: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
+    """precision / recall at every distinct score (descending cut)."""
+    c = _pr_counts(scores, group, y, p)
+    tp, fp, P = F.col("cum_pos"), F.col("cum_neg"), F.col("tot_pos")
+    return c.select(*group, "threshold", (tp / (tp + fp)).alias("precision"),
+                    F.when(P > 0, tp / P).otherwise(F.lit(0.0)).alias("recall"))
 
 
 def average_precision(scores: DataFrame, group: Sequence[str], y: str = "y", p: str = "p") -> DataFrame:
     """F8: AP = sum_n (R_n - R_{n-1}) P_n over distinct scores, descending;
-    0 when a group has no positives."""
-    pts = pr_points(scores, group, y, p)
-    w = Window.partitionBy(*group).orderBy(F.desc("threshold"))
-    d = pts.withColumn("dr", F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0)))
-    return d.groupBy(*group).agg(F.sum(F.col("dr") * F.col("precision")).alias("average_precision"))
+    R_n - R_{n-1} is the cut's own positives / P, so no ordered window is
+    needed after the running sums.  0 when a group has no positives."""
+    c = _pr_counts(scores, group, y, p)
+    tp, fp, P = F.col("cum_pos"), F.col("cum_neg"), F.col("tot_pos")
+    term = F.when(P > 0, F.col("pos") / P * (tp / (tp + fp))).otherwise(F.lit(0.0))
+    return c.groupBy(*group).agg(F.sum(term).alias("average_precision"))
 
 
 def soft_vote(*probs: Column) -> Column:
