@@ -30,7 +30,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     from jobsheet.session import local_session
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8")),
                           app="jobsheet-bench")
     from jobsheet.plans import catalog  # noqa: F401
     from jobsheet.plans.registry import REGISTRY
