@@ -169,6 +169,16 @@ def order_features(clean: DataFrame, headers: DataFrame, cfg: OrderConfig,
                      "full_text", "order_text")
 
 
+def order_text_frame(clean: DataFrame, orders: DataFrame, cfg: OrderConfig, key: str = "order_id") -> DataFrame:
+    """B4 / B5 / C6 only: order texts and keyword flags for every order of
+    ``orders`` (the order universe), without the header / make joins the
+    full feature row needs.  Unused aggregates are pruned by Catalyst."""
+    agg = order_aggregates(clean, cfg, key).select(key, "full_text", "order_text")
+    d = orders.select(key).join(agg, key, "left").fillna("", ["full_text", "order_text"])
+    return d.withColumns({name: search(F.col("full_text"), pat).cast("int")
+                          for name, pat in cfg.keyword_flags.items()})
+
+
 def eda_ratio_ccs(cfg: OrderConfig) -> list[str]:
     """The profiling variant keeps time ratios for the first two ratio centres
     that are among its (all-but-last) cost centres."""

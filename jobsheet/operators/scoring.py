@@ -156,7 +156,8 @@ def triggered_keywords(feats: DataFrame, active: DataFrame, cfg: OrderConfig) ->
     tk = F.create_map(*[x for t, kws in cfg.target_keywords.items()
                         for x in (F.lit(t), F.array(*[F.lit(kw) for kw in kws]))])
     flags = F.create_map(*[x for kw in cfg.keyword_flags for x in (F.lit(kw), F.col(kw))])
-    j = active.select("order_id", "target").join(feats.select("order_id", *cfg.keyword_flags), "order_id")
+    j = active.select("order_id", "target").join(feats.select("order_id", *cfg.keyword_flags), "order_id", "left") \
+        .fillna(0, list(cfg.keyword_flags))
     kws = F.filter(tk[F.col("target")], lambda kw: flags[kw] == 1)
     return j.select("order_id", "target", F.transform(kws, lambda kw: F.regexp_replace(kw, "^kw_", ""))
                     .alias("triggered_keywords"))

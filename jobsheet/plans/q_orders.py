@@ -19,6 +19,14 @@ def features_frame(spark, sf):
     return P.order_features(clean, V.headers(spark, sf), CFG)
 
 
+def texts_frame(spark, sf):
+    """Order texts + keyword flags for all orders (no header / make joins)."""
+    from jobsheet.sources.tables import table
+    clean = P.clean_positions(V.positions(spark, sf), CFG)
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"))
+    return P.order_text_frame(clean, orders, CFG)
+
+
 # ---------------------------------------------------------------- B1 / nested
 def nested_orders(spark, sf):
     """The view in document form: one row per order with its position list."""

@@ -12,7 +12,7 @@ from jobsheet.config import part_catalog
 from jobsheet.operators import text as D
 from jobsheet.plans import sqlbase as S
 from jobsheet.plans.q_eval import SPLIT, splits_frame
-from jobsheet.plans.q_orders import features_frame
+from jobsheet.plans.q_orders import features_frame, texts_frame
 from jobsheet.plans.q_profile import ROLL
 from jobsheet.plans.registry import query, round_doubles
 from jobsheet.sources.tables import table
@@ -29,7 +29,7 @@ SQL_TOKENS = ("list_filter(list_transform(regexp_extract_all(lower({t}), '[\\p{{
 
 
 def docs_frame(spark, sf):
-    return features_frame(spark, sf).select("order_id", F.col("order_text").alias("text"))
+    return texts_frame(spark, sf).select("order_id", F.col("order_text").alias("text"))
 
 
 def word_terms():
