@@ -220,7 +220,7 @@ draws AS (SELECT s.target, j, (j * 7919 + 42) % s.n_pos AS idx FROM small s, ran
 allrows AS (SELECT order_id, target, y, hours, 0 AS copy FROM trl UNION ALL
             SELECT rk.order_id, d.target, 1, t.hours, d.j + 1 FROM draws d JOIN ranked rk ON d.target = rk.target AND d.idx = rk.idx
             JOIN trl t ON t.order_id = rk.order_id AND t.target = rk.target)
-SELECT target, count(*) AS n_rows, count_if(y = 1) AS n_pos, count_if(copy > 0) AS n_added
+SELECT target, count(*) AS n_rows, CAST(count_if(y = 1) AS BIGINT) AS n_pos, CAST(count_if(copy > 0) AS BIGINT) AS n_added
 FROM allrows GROUP BY target""", "E")
 def q_random_oversample(spark, sf):
     """Positives topped up to 200 per target (train only)."""
@@ -365,8 +365,9 @@ def q_apply_threshold(spark, sf):
 
 # ====================================================================== J
 @query("confusion_counts", lambda: full_eval_with() + """
-SELECT target, count_if(y = 1 AND active) AS tp, count_if(y <> 1 AND active) AS fp,
-       count_if(y = 1 AND NOT active) AS fn, count_if(y <> 1 AND NOT active) AS tn FROM tp_pred GROUP BY target""", "J")
+SELECT target, CAST(count_if(y = 1 AND active) AS BIGINT) AS tp, CAST(count_if(y <> 1 AND active) AS BIGINT) AS fp,
+       CAST(count_if(y = 1 AND NOT active) AS BIGINT) AS fn, CAST(count_if(y <> 1 AND NOT active) AS BIGINT) AS tn
+FROM tp_pred GROUP BY target""", "J")
 def q_confusion_counts(spark, sf):
     """Confusion counts per target on test."""
     return J.confusion_counts(test_predictions(spark, sf), ["target"])

@@ -83,7 +83,7 @@ def q_promotion_rules(spark, sf):
 @query("promotion_decision", lambda: full_eval_with(MM, _rules_sql()) + """
 SELECT CASE WHEN bool_and(passed) THEN 'PROMOTED' ELSE 'REJECTED' END AS decision,
        'DRY RUN - would be ' || CASE WHEN bool_and(passed) THEN 'PROMOTED' ELSE 'REJECTED' END AS dry_run_decision,
-       count_if(passed) AS n_passed, count(*) AS n_rules,
+       CAST(count_if(passed) AS BIGINT) AS n_passed, count(*) AS n_rules,
        coalesce(list_sort(list(rule_id) FILTER (WHERE NOT passed)), []) AS failed_rules FROM rp""", "L")
 def q_promotion_decision(spark, sf):
     """L4: the decision record (and its dry-run wording)."""

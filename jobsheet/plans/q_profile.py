@@ -195,7 +195,7 @@ def q_text_encoding_audit(spark, sf):
 
 @query("text_length_stats", lambda: S.with_(S.POS_RAW, UT) + f"""
 SELECT {r('avg(length(text))')} AS mean_len, {r('median(length(text))')} AS median_len,
-       max(length(text)) AS max_len FROM ut""", "K")
+       CAST(max(length(text)) AS INTEGER) AS max_len FROM ut""", "K")
 def q_text_length_stats(spark, sf):
     return round_doubles(K.text_length_stats(K.useful_texts(V.positions(spark, sf))))
 

@@ -85,8 +85,9 @@ def q_stream_rolling_prevalence(spark, sf):
 
 
 @query("stream_outcome_join", lambda: LOG + """
-SELECT strftime(day, '%Y-%m-%d') AS day, target, count_if(active AND y = 1) AS tp, count_if(active AND y = 0) AS fp,
-       count_if(NOT active AND y = 1) AS fn, count(*) AS n FROM lg GROUP BY day, target""", "M")
+SELECT strftime(day, '%Y-%m-%d') AS day, target, CAST(count_if(active AND y = 1) AS BIGINT) AS tp,
+       CAST(count_if(active AND y = 0) AS BIGINT) AS fp, CAST(count_if(NOT active AND y = 1) AS BIGINT) AS fn,
+       count(*) AS n FROM lg GROUP BY day, target""", "M")
 def q_stream_outcome_join(spark, sf):
     """M11 input on the stream: predictions joined to outcomes within one
     hour of event time (stream-stream join, both sides watermarked)."""

@@ -61,7 +61,7 @@ ctc AS (SELECT order_id, substring(w, i, n) AS term, count(*) AS tf FROM cg GROU
 
 def _vocab_sql(tc: str, name: str, min_df: int, max_features: int) -> str:
     return f"""
-{name}_st AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM {tc} GROUP BY term),
+{name}_st AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM {tc} GROUP BY term),
 {name} AS (SELECT term, df, ctf, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM
            (SELECT * FROM {name}_st WHERE df >= {min_df} ORDER BY ctf DESC, term LIMIT {max_features}))"""
 
@@ -90,14 +90,14 @@ def q_word_tokenize(spark, sf):
 
 # ---------------------------------------------------------------- D2 / D3
 @query("word_ngrams", lambda: _docs_sql() + "," + WORD_TERMS + """
-SELECT term, count(*) AS df, sum(tf) AS ctf FROM tc GROUP BY term""", "D")
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM tc GROUP BY term""", "D")
 def q_word_ngrams(spark, sf):
     """Word 1-2-grams with document and corpus frequency."""
     return D.term_stats(D.term_counts(docs_frame(spark, sf), "order_id", word_terms()), "order_id")
 
 
 @query("char_wb_ngrams", lambda: _docs_sql() + "," + CHAR_TERMS + """
-SELECT term, count(*) AS df, sum(tf) AS ctf FROM ctc GROUP BY term""", "D")
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM ctc GROUP BY term""", "D")
 def q_char_wb_ngrams(spark, sf):
     """D3: padded in-word character 3-5-grams with frequencies."""
     return D.term_stats(D.term_counts(docs_frame(spark, sf), "order_id", char_terms()), "order_id")
@@ -185,10 +185,12 @@ def q_assemble_features(spark, sf):
 @query("mean_pool", lambda: f"""
 WITH ex AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(0, len(embedding))) AS dim FROM embeddings),
 pd AS (SELECT label, dim, sum(v * 1.0) / greatest(count(*) * 1.0, 1e-9::DOUBLE) AS v FROM ex GROUP BY label, dim)
-SELECT label, list(v ORDER BY dim) AS pooled FROM pd GROUP BY label""", "D")
+SELECT label, list({r('v')} ORDER BY dim) AS pooled FROM pd GROUP BY label""", "D")
 def q_mean_pool(spark, sf):
     """Masked mean pooling of the 64-d vectors per label group."""
-    return D.mean_pool(table(spark, sf, "embeddings"), "label")
+    from jobsheet.functions.stats import rnd
+    p = D.mean_pool(table(spark, sf, "embeddings"), "label")
+    return p.select("label", F.transform("pooled", lambda x: rnd(x, 6)).alias("pooled"))
 
 
 @query("l2_normalise", lambda: f"""
