@@ -467,7 +467,7 @@ def q_delta_vs_baseline(spark, sf):
     """Model metrics against the rule baseline (factor 10) on test."""
     from jobsheet.operators import profile as K
     pt = J.per_target_report(test_predictions(spark, sf), ["target"])
-    num = K.rule_numerators(V.positions(spark, sf), V.headers(spark, sf), CFG)
+    num = K.rule_numerators(V.positions(spark, sf), V.order_keys(spark, sf), CFG)
     sp = splits_frame(spark, sf).where(F.col("split") == "test").select("order_id")
     rb = num.join(sp, "order_id").join(V.targets_long(spark, sf, CFG), ["order_id", "target"])
     rb = rb.select("order_id", "target", (F.col("hours") > 0).cast("int").alias("y"), "hours",

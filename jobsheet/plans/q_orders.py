@@ -21,10 +21,8 @@ def features_frame(spark, sf):
 
 def texts_frame(spark, sf):
     """Order texts + keyword flags for all orders (no header / make joins)."""
-    from jobsheet.sources.tables import table
     clean = P.clean_positions(V.positions(spark, sf), CFG)
-    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"))
-    return P.order_text_frame(clean, orders, CFG)
+    return P.order_text_frame(clean, V.order_keys(spark, sf), CFG)
 
 
 # ---------------------------------------------------------------- B1 / nested
@@ -91,7 +89,7 @@ FROM feat"""
 @query("order_texts", _sql_texts, "B")
 def q_order_texts(spark, sf):
     """B4 order text, B5 full text, B6 placeholder for blank documents."""
-    f = features_frame(spark, sf)
+    f = texts_frame(spark, sf)
     return f.select("order_id", "order_text", "full_text",
                     L.with_placeholder(F.col("order_text"), CFG.empty_placeholder).alias("doc_text"))
 

@@ -369,7 +369,7 @@ def _rule_pred(f: str) -> str:
 
 
 def _rn(spark, sf):
-    return K.rule_numerators(V.positions(spark, sf), V.headers(spark, sf), CFG)
+    return K.rule_numerators(V.positions(spark, sf), V.order_keys(spark, sf), CFG)
 
 
 @query("rule_baseline", lambda: S.with_(S.POS_RAW, S.HDR, rule_num_sql()) + f"""

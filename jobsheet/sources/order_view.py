@@ -68,6 +68,12 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order universe ``(order_id)`` - for operators that need no header
+    attribute (avoids the customer join, which Catalyst cannot drop)."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"))
+
+
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: ``(order_id, make, order_date)``."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
