@@ -105,3 +105,15 @@ def q_stream_dedup(spark, sf):
     """Replayed request log with duplicates of (user, target) dropped
     within the watermark."""
     return run_available(SM.dedup_stream(_events(spark, sf)), "dedup").select("request_id", "user_id", "target")
+
+
+@query("stream_rolling_prevalence_28d", lambda: LOG + f"""
+, dd AS (SELECT target, day, count(*) AS n, count_if(active) AS n_active FROM lg GROUP BY target, day),
+ends AS (SELECT DISTINCT target, day + CAST(k AS INTEGER) AS e FROM dd, range(0, 28) t(k))
+SELECT e.target, strftime(e.e, '%Y-%m-%d') AS end_day, {big('sum(d.n)')} AS n, {big('sum(d.n_active)')} AS n_active,
+       {r('100.0 * sum(d.n_active) / sum(d.n)')} AS active_pct
+FROM ends e JOIN dd d ON d.target = e.target AND d.day BETWEEN e.e - 27 AND e.e GROUP BY e.target, e.e""", "M")
+def q_stream_rolling_prevalence_28d(spark, sf):
+    """M6 baseline on the stream: 28-day windows sliding by one day."""
+    return round_doubles(run_available(SM.prevalence_sliding(_events(spark, sf), "28 days", "1 day"),
+                                       "prevalence28", mode="complete"))
