@@ -44,9 +44,10 @@ def training_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
     """(order_id, split, y_<t>, h_<t>, features) persisted, plus the fitted
     vocabulary.  Vocabulary and idf are fitted on the training split only."""
     _release()
+    from jobsheet.plans.q_orders import texts_frame
     feats = features_frame(spark, sf)
     sp = splits_frame(spark, sf).select("order_id", "split")
-    docs = feats.select("order_id", F.col("order_text").alias("text")).join(sp, "order_id")
+    docs = texts_frame(spark, sf).select("order_id", F.col("order_text").alias("text")).join(sp, "order_id")
     vocab = D.fit_vocab(docs.where(F.col("split") == "train"), "order_id", word_terms(), WORD_MIN_DF, WORD_MAX)
     vocab = vocab.cache()
     wv = D.sparse_vectors(D.transform_frozen(docs, "order_id", word_terms(), vocab), "order_id", WORD_MAX,
