@@ -11,7 +11,6 @@ case folding needs ``(?i)``.  ``rlike`` has search (find) semantics, like
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 PY_FLAGS = "(?dU)"
 PY_FLAGS_I = "(?diU)"

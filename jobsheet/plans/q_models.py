@@ -21,7 +21,7 @@ from jobsheet.operators import thresholds as TH
 from jobsheet.plans import sqlbase as S
 from jobsheet.plans.q_eval import full_eval_with, splits_frame, test_predictions
 from jobsheet.plans.q_orders import features_frame
-from jobsheet.plans.q_text import SQL_TOKENS, WORD_MAX, WORD_MIN_DF, word_terms  # noqa: F401
+from jobsheet.plans.q_text import WORD_MAX, WORD_MIN_DF, word_terms
 from jobsheet.plans.registry import query, round_doubles
 from jobsheet.session import checkpoint_dir
 from jobsheet.sources import order_view as V

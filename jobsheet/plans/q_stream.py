@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobsheet.config import part_catalog
-from jobsheet.operators import positions as P
 from jobsheet.plans import sqlbase as S
 from jobsheet.plans.q_monitor import LOG
 from jobsheet.plans.registry import query, round_doubles
