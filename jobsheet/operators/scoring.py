@@ -67,12 +67,16 @@ def load_bundle(path: str) -> Bundle:
     """A9 load: every required part must exist, else one error naming all
     missing parts (the I5 'required minus present' check)."""
     spark = SparkSession.getActiveSession()
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    present = {part for part in REQUIRED_PARTS if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{part}"))}
-    missing = [x for x in REQUIRED_PARTS if x not in present]
+
+    def readable(part: str) -> bool:
+        fmt, sub = ("json", part) if part == "manifest" else \
+            ("parquet", f"{part}/_part" if part in ("clf", "reg") else part)
+        try:
+            spark.read.format(fmt).load(f"{path}/{sub}").schema
+            return True
+        except Exception:  # missing path or unreadable part
+            return False
+    missing = [x for x in REQUIRED_PARTS if not readable(x)]
     if missing:
         raise ValueError(f"model bundle at {path} is missing: {', '.join(missing)}")
     man = json.loads(spark.read.json(f"{path}/manifest").first()["manifest"])
