@@ -32,7 +32,7 @@ def orders_json(spark, sf):
     docs = K.order_documents(V.positions(spark, sf), V.headers(spark, sf), V.targets_wide(spark, sf, CFG),
                              CFG.targets)
     docs.write.mode("overwrite").text(path)
-    return A.read_orders(spark, path).cache()
+    return A.read_orders(spark, path)
 
 
 NP = """
