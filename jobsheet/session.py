@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,16 +28,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_CHECKPOINT_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), registered once per application.
 
-    On a cluster this must already be set to shared storage.  Only when it is
-    unset (local tests) do we create a scratch folder and register it.
+    On a cluster this must already be set to shared storage.  Only a local
+    master (one machine, one process) gets a scratch folder where it is unset.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="jobsheet-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    if sc.applicationId not in _CHECKPOINT_DIRS:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            d = tempfile.mkdtemp(prefix="jobsheet-ckpt-")
+        sc.setCheckpointDir(d)
+        _CHECKPOINT_DIRS[sc.applicationId] = d
+    return _CHECKPOINT_DIRS[sc.applicationId]
