@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsheet.llm import oracles
 from jobsheet.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +39,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op4_toxicity_ftrl")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.toxicity_ftrl import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op7_benchmark_decontamination", oracles.OP7)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated")
+
+
+@query("op3_line_frequency", oracles.OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.line_frequency import line_quality
+
+    return line_quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op5_url_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.url_filter import apply_rules, fit, judge, labelled, parse
+
+    pages = table(spark, sf_dir, "pages")
+    model = fit(labelled(apply_rules(parse(pages.select("url"), "url"))))
+    return judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
