@@ -72,3 +72,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     model = fit(labelled(apply_rules(parse(pages.select("url"), "url"))))
     return judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op1_quotation_linking")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.quotes import link
+
+    return link(table(spark, sf_dir, "conversations"))
+
+
+@query("op6_surrogates")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.surrogates import entities, replace_personal_data
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(entities(F.col("text"))).alias("n_entities"))
+    return replace_personal_data(docs).withColumn("n_entities", F.greatest("n_entities", F.lit(0)))
