@@ -40,3 +40,32 @@ over AS (SELECT source, l FROM (SELECT source, l, count(DISTINCT text) AS n FROM
 gone AS (SELECT doc_id, sum(n) AS n FROM line SEMI JOIN over USING (source, l) GROUP BY doc_id)
 SELECT base.*, NOT base_failed AND n_words - coalesce(gone.n, 0) >= 0.5 * n_words AS kept FROM base LEFT JOIN gone USING (doc_id)
 """
+
+OP8 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id < y.doc_id
+      JOIN n AS p ON p.doc_id = x.doc_id JOIN n AS q ON q.doc_id = y.doc_id GROUP BY x.doc_id, y.doc_id
+      HAVING 100 * count(*) >= 85 * (any_value(p.n) + any_value(q.n) - count(*))),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM reach AS r JOIN edge AS e ON e.a = r.to_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.least AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(to_id) AS least FROM reach GROUP BY doc_id) AS c USING (doc_id)
+"""
+
+OP9 = r"""
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+f AS MATERIALIZED (SELECT doc_id, i, hash(substr(x, 2 * i + 1, 60)) AS g FROM (SELECT doc_id, x, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400)),
+c AS (SELECT doc_id, i FROM f JOIN (SELECT g FROM f GROUP BY g HAVING count(*) > 1) USING (g)),
+s AS MATERIALIZED (SELECT doc_id, i, hash(substr(x, 2 * i + 1, 800)) AS g FROM c JOIN d USING (doc_id)),
+r AS (SELECT doc_id, i FROM s JOIN (SELECT g FROM s GROUP BY g HAVING count(*) > 1) USING (g)),
+m AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r),
+run AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM run GROUP BY doc_id, k),
+gap AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_, a AS to_ FROM span
+        UNION ALL SELECT d.doc_id, 1e18, coalesce(max(b), 0), any_value(n) FROM d LEFT JOIN span USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * from_::BIGINT + 1, 2 * (to_ - from_)::BIGINT), '' ORDER BY a) AS x FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(t.n_removed, 0)::BIGINT AS n_removed, coalesce(t.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.x)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id) AS t USING (doc_id)
+"""

@@ -87,3 +87,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(entities(F.col("text"))).alias("n_entities"))
     return replace_personal_data(docs).withColumn("n_entities", F.greatest("n_entities", F.lit(0)))
+
+
+@query("op8_ngram_jaccard_join", oracles.OP8)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.jaccard_join import join_classes
+
+    return join_classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op9_suffix_dedup", oracles.OP9)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
