@@ -34,9 +34,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from jobsheet.llm.common import keep, partitions, small_batches
 
-LENGTH, GRAM = 400, 32
+LENGTH, GRAM, PERIOD = 400, 32, 16
 SLICE = 1 << 20  #: bytes of text that are hashed at once; longer texts in overlapping slices
-MAX_GROUP = 60_000
+MAX_GROUP = 20_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -62,7 +62,19 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     h = (sums[GRAM:] - sums[:-GRAM]) * _table("down", len(data) - GRAM + 1)
     h = (h ^ h >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ h >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
-    return (h ^ h >> np.uint64(32)) | np.uint64(1)
+    return ((h ^ h >> np.uint64(32)) >> np.uint64(1) | np.uint64(1)) | _periodic(data) << np.uint64(63)
+
+
+def _periodic(data: np.ndarray) -> np.ndarray:
+    """1 where the gram repeats itself with a period of up to PERIOD bytes: chosen only where a window has no other gram."""
+    n = len(data) - GRAM + 1
+    found = np.zeros(n, bool)
+    for p in range(1, PERIOD + 1):
+        same = data[p:] == data[:-p]
+        if same.mean() > 0.005:
+            sums = np.concatenate([np.zeros(1, np.int32), np.cumsum(same, dtype=np.int32)])
+            found |= (sums[GRAM - p:] - sums[:p - GRAM])[:n] == GRAM - p
+    return found.astype(np.uint64)
 
 
 def _sliding(x: np.ndarray, w: int, best, worst) -> np.ndarray:
@@ -76,18 +88,52 @@ def _sliding(x: np.ndarray, w: int, best, worst) -> np.ndarray:
     return best(left[:n], right[w - 1:w - 1 + n])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams that some window chooses; windows don't cross ``ends``."""
+def _chosen(v: np.ndarray, least: np.ndarray, w: int) -> np.ndarray:
+    """For every window with a ``least`` the leftmost place that has it."""
+    padded = np.zeros(len(least) + 2 * (w - 1), np.uint64)
+    padded[w - 1:w - 1 + len(least)] = least
+    at = np.flatnonzero(v == _sliding(padded, w, np.maximum, np.uint64(0)))  # with ties
+    if not len(at):
+        return at
+    # The leftmost changes only where the least value does or where the window leaves a place behind.
+    moved = np.zeros(len(least) + 1, bool)
+    moved[0] = True
+    moved[1:-1] = least[1:] != least[:-1]
+    moved[at[at < len(least)] + 1] = True
+    s = np.flatnonzero(moved[:-1] & (least > 0))
+    values = np.unique(v[at])
+    keys = np.sort(np.searchsorted(values, v[at]) * (len(v) + 1) + at)
+    found = keys[np.searchsorted(keys, np.searchsorted(values, least[s]) * (len(v) + 1) + s)]
+    return np.unique(found % (len(v) + 1))
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Places and hashes of the grams that some window chooses, and the bytes (start, stop) that are proven
+    repeated already; windows don't cross ``ends``.
+
+    Text with a short period would choose a place in every period.  There, a window equals one a period
+    earlier: both are proven by comparing the text with itself, and only the earliest of them still chooses.
+    """
     if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), []
     v, w = gram_hashes(data), length - GRAM + 1
     least = _sliding(v, w, np.minimum, np.uint64(2**64 - 1))
     for e in ends[:-1].tolist():  # windows over a text's end choose nothing
         least[max(0, e - length + 1):e] = 0
-    padded = np.zeros(len(least) + 2 * (w - 1), np.uint64)
-    padded[w - 1:w - 1 + len(least)] = least
-    chosen = np.flatnonzero(v == _sliding(padded, w, np.maximum, np.uint64(0)))
-    return chosen, v[chosen]
+    chosen = _chosen(v, least, w)
+    doc, gap = np.searchsorted(ends, chosen, "right"), np.diff(chosen)
+    tied = (v[chosen[1:]] == v[chosen[:-1]]) & (doc[1:] == doc[:-1]) & (gap < w)
+    if not tied.any():
+        return chosen, v[chosen], []
+    proven = np.zeros(len(least), bool)
+    for d, p in np.unique(np.stack([doc[1:][tied], gap[tied]], 1), axis=0).tolist():
+        lo, hi = int(ends[d - 1]) if d else 0, int(ends[d])
+        equal = np.concatenate([[0], np.cumsum(data[lo + p:hi] == data[lo:hi - p])])
+        earlier = lo + np.flatnonzero(equal[length:] - equal[:-length] == length)
+        least[earlier + p] = 0
+        proven[earlier] = proven[earlier + p] = True
+    chosen = _chosen(v, least, w)
+    return chosen, v[chosen], [(a, z + length) for a, z in _runs(proven)]
 
 
 def _chunks(texts: list[bytes], length: int):
@@ -103,18 +149,25 @@ def _bytes(column) -> list[bytes]:
 
 
 def _anchors(length: int):
-    schema = pa.schema([("gram", pa.int64()), ("h", pa.int64()), ("pos", pa.int64())])
+    """Chosen suffixes (gram, h, pos) and spans that are proven already (no gram; pos to stop)."""
+    schema = pa.schema([("gram", pa.int64()), ("h", pa.int64()), ("pos", pa.int64()), ("stop", pa.int64())])
 
     def packed(parts, h):
         sizes = np.array([len(x) for *_, x in parts])
         ends = np.cumsum(sizes)
-        at, gram = anchors(np.frombuffer(b"".join(x for *_, x in parts), np.uint8), ends, length)
+        shift = np.array([p[1] for p in parts]) - (ends - sizes)
+        rows = np.array([p[0] for p in parts])
+        at, gram, spans = anchors(np.frombuffer(b"".join(x for *_, x in parts), np.uint8), ends, length)
         which = np.searchsorted(ends, at, "right")
-        pos = at - (ends - sizes)[which] + np.array([p[1] for p in parts])[which]
-        row = np.array([p[0] for p in parts])[which]
         # slices overlap: a place chosen in two of them is one
-        _, first = np.unique(np.stack([row, pos], 1), axis=0, return_index=True) if len(row) else (None, np.zeros(0, int))
-        return pa.RecordBatch.from_arrays([pa.array(gram[first].view(np.int64)), pa.array(h[row[first]]), pa.array(pos[first])], schema=schema)
+        first = np.unique(np.stack([rows[which], at + shift[which]], 1), axis=0, return_index=True)[1] if len(at) else at
+        at, gram, which = at[first], gram[first], which[first]
+        start, stop = (np.array([x[i] for x in spans], np.int64) for i in (0, 1))
+        of = np.searchsorted(ends, start, "right")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.append(gram.view(np.int64), np.zeros(len(of), np.int64)), mask=np.arange(len(at) + len(of)) >= len(at)),
+             pa.array(h[np.append(rows[which], rows[of])]), pa.array(np.append(at + shift[which], start + shift[of])),
+             pa.array(np.append(np.zeros(len(at), np.int64), stop + shift[of]))], schema=schema)
 
     def run(batches):
         for b in batches:
@@ -155,21 +208,38 @@ def _contexts(length: int, splitters):
 
 
 def multikey_order(x: np.ndarray) -> np.ndarray:
-    """The order of the rows of a byte matrix: sorted by 8-byte tokens, ties alone by the next token."""
+    """The order of the rows of a byte matrix by multikey quicksort on 8-byte tokens: rows that tie on a token,
+    and they alone, go on to the next; a few rows are sorted at once."""
+    if len(x) <= 64:
+        rows = [r.tobytes() for r in x]
+        return np.array(sorted(range(len(x)), key=rows.__getitem__))
     keys = np.ascontiguousarray(x).view(">u8").astype(np.uint64)
     order = np.argsort(keys[:, 0], kind="stable")
-    tied = np.zeros(len(order), np.int64)  # rank of the run of equal prefixes
-    for k in range(keys.shape[1]):
-        if k:
-            order = order[np.lexsort((keys[order, k], tied))] if (np.diff(tied) == 0).any() else order
-        col = keys[order, k]
-        step = np.concatenate([[0], (np.diff(col) != 0) | (np.diff(tied) != 0)])
-        tied = np.cumsum(step)
-        if len(tied) and tied[-1] == len(tied) - 1:
-            break
+    runs = [(0, len(x), 0)]
+    while runs:
+        lo, hi, k = runs.pop()
+        part = order[lo:hi]
+        part = part[np.argsort(keys[part, k], kind="stable")]
+        order[lo:hi] = part
+        if k + 1 < keys.shape[1]:
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(keys[part, k])) + 1, [hi - lo]])
+            runs += [(lo + a, lo + z, k + 1) for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True) if z - a > 1]
     return order
 
 
+def _pair(before: np.ndarray, texts: list[bytes], reach: int, length: int) -> np.ndarray:
+    (s, t), (i, j) = (np.frombuffer(x, np.uint8) for x in texts), before.tolist()
+    n = min(len(s) - i, len(t) - j)
+    differ = np.flatnonzero(s[i:i + n] != t[j:j + n])
+    right = differ[0] if len(differ) else n
+    n = min(i, j)
+    differ = np.flatnonzero(s[i - n:i] != t[j - n:j])
+    left = n - 1 - differ[-1] if len(differ) else n
+    proven = np.zeros((2, reach + 1), bool)
+    proven[:, max(0, length - right):left + 1] = True
+    return proven
+
+
 def _common(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the rows of two byte matrices, at most ``most``."""
     differ = a != b
@@ -181,6 +251,8 @@ def group_windows(before: np.ndarray, texts: list[bytes], length: int) -> np.nda
     """For every suffix of a group and every o from 0 to length - GRAM: does the window that begins o
     bytes before the suffix occur at another suffix of the group?"""
     m, reach = len(texts), length - GRAM
+    if m == 2:
+        return _pair(before, texts, reach, length)
     x = np.zeros((m, reach + length), np.uint8)
     after = np.empty(m, np.int64)
     for i, (t, l) in enumerate(zip(texts, before.tolist(), strict=True)):
@@ -191,7 +263,7 @@ def group_windows(before: np.ndarray, texts: list[bytes], length: int) -> np.nda
     proven = np.zeros((m, reach + 1), bool)
     most_l, most_r = np.zeros(m, np.int64), np.zeros(m, np.int64)
     for side in (right, left):
-        order = multikey_order(side) if m > 2 else np.arange(m)
+        order = multikey_order(side)
         a, b = order[:-1], order[1:]
         common_r = _common(right[a], right[b], np.minimum(after[a], after[b]))
         common_l = _common(left[a], left[b], np.minimum(before[a], before[b]))
@@ -202,8 +274,6 @@ def group_windows(before: np.ndarray, texts: list[bytes], length: int) -> np.nda
                 most_r[i] = np.maximum(most_r[i], common_r)
             else:
                 most_l[i] = np.maximum(most_l[i], common_l)
-        if m == 2:
-            return proven
     open_ = (o >= (length - most_r)[:, None]) & (o <= most_l[:, None]) & ~proven
     for k in np.flatnonzero(open_.any(0)).tolist():
         rows = np.flatnonzero((before >= k) & (after >= length - k))
@@ -270,7 +340,9 @@ def _window_hashes(length: int):
 def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """(h, start, stop) of the repeated bytes of documents (id, h, text); spans of one document may overlap."""
     spark = keyed.sparkSession
-    found = keep(keyed.select("h", "text").filter(F.octet_length("text") >= length).mapInArrow(_anchors(length), "gram long, h long, pos long"), "anchors")
+    found = keep(keyed.select("h", "text").filter(F.octet_length("text") >= length).mapInArrow(_anchors(length), "gram long, h long, pos long, stop long"), "anchors")
+    proven = found.filter("gram IS NULL").select("h", F.col("pos").alias("start"), "stop")
+    found = found.filter("gram IS NOT NULL").select("gram", "h", "pos")
     often = found.groupBy("gram").agg(F.count("*").alias("times")).filter("times > 1")
     repeated = keep(found.join(often, "gram").select("gram", "h", "pos", (F.col("times") > MAX_GROUP).alias("hot")), "repeated-suffixes")
     n = partitions(spark)
@@ -280,7 +352,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     contexts = keyed.join(places, "h").select("id", "h", "text", "places").mapInArrow(
         _contexts(length, edges), "bucket int, gram long, hot boolean, h long, pos long, before int, bytes binary")
     buckets = contexts.filter("NOT hot").drop("hot").repartition(n, "bucket").sortWithinPartitions("gram")
-    spans = buckets.mapInArrow(_bucket(length), "h long, start long, stop long")
+    spans = proven.unionByName(buckets.mapInArrow(_bucket(length), "h long, start long, stop long"))
     if not repeated.filter("hot").isEmpty():
         w = contexts.filter("hot").mapInArrow(_window_hashes(length), "gram long, h long, pos long, windows array<struct<o:int,w:long>>") \
             .select("gram", "h", "pos", F.inline("windows"))
