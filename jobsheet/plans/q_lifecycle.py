@@ -30,7 +30,9 @@ def model_predictions(spark, sf):
 
 
 def model_metrics(spark, sf):
-    return J.macro_and_fw(J.per_target_report(model_predictions(spark, sf), ["model", "target"]), ["model"])
+    """One record per model, under the keys of a metrics file."""
+    return J.macro_and_fw(J.per_target_report(model_predictions(spark, sf), ["model", "target"]), ["model"]) \
+        .withColumnsRenamed({"macro_mae_e2e": "macro_mae_hrs", "fw_mae_e2e": "fw_mae_hrs"})
 
 
 MM = """
@@ -45,14 +47,16 @@ mptr AS (SELECT model, target, (tp + tn) / (tp + fp + fn + tn) AS accuracy,
                       count_if(y = 1 AND NOT active) AS fn, count_if(y <> 1 AND NOT active) AS tn,
                       avg(abs(hours - pred_hours)) AS mae_e2e, avg(y::DOUBLE) AS prevalence
                FROM mp GROUP BY model, target)),
-mm AS (""" + _mfw_sql("mptr", "model", round_out=False) + """),
+mm AS (SELECT * RENAME (macro_mae_e2e AS macro_mae_hrs, fw_mae_e2e AS fw_mae_hrs) FROM (""" + _mfw_sql("mptr", "model", round_out=False) + """)),
 mml AS (UNPIVOT mm ON COLUMNS(* EXCLUDE (model)) INTO NAME metric VALUE value)"""
 
 
 def _rules_sql():
-    rows = " UNION ALL ".join(
-        f"SELECT {q(i)} AS rule_id, {q(m)} AS metric, {q(c)} AS cmp, {q(k)} AS kind, {t!r}::DOUBLE AS tol, "
-        f"{q(d)} AS description" for i, m, c, k, t, d in L.PROMOTION_RULES)
+    # written out here, so that a wrong constant of the operator shows
+    rows = """
+    SELECT 'R1_fw_f1' AS rule_id, 'fw_f1' AS metric, '>=' AS cmp, 'minus' AS kind, 0.005::DOUBLE AS tol, 'frequency-weighted F1 may drop at most 0.005' AS description
+    UNION ALL SELECT 'R2_fw_mae', 'fw_mae_hrs', '<=', 'times', 1.05::DOUBLE, 'frequency-weighted MAE may grow at most 5%'
+    UNION ALL SELECT 'R3_macro_f1', 'macro_f1', '>=', 'minus', 0.010::DOUBLE, 'macro F1 may drop at most 0.010'"""
     return f"""
 rules AS ({rows}),
 rr AS (SELECT r.rule_id, r.metric, r.description, c.value AS champion, h.value AS challenger,
@@ -66,7 +70,8 @@ def _rules(spark, sf):
     return L.promotion_rules(model_metrics(spark, sf), CHAMPION, CHALLENGER, L.rules_table(spark))
 
 
-@query("model_metrics", lambda: full_eval_with(MM) + "\n" + _mfw_sql("mptr", "model"), "L")
+@query("model_metrics", lambda: full_eval_with(MM) + "\nSELECT * RENAME (macro_mae_e2e AS macro_mae_hrs, fw_mae_e2e AS fw_mae_hrs) FROM ("
+       + _mfw_sql("mptr", "model") + ")", "L")
 def q_model_metrics(spark, sf):
     """Metric record per model (the input of every lifecycle operator)."""
     return round_doubles(model_metrics(spark, sf))
@@ -94,7 +99,8 @@ def q_promotion_decision(spark, sf):
 
 
 @query("metric_comparison", lambda: full_eval_with(MM) + f"""
-, dirs AS ({" UNION ALL ".join(f"SELECT {q(m)} AS metric, {d} AS direction" for m, d in L.COMPARED)}),
+, dirs AS (SELECT 'macro_f1' AS metric, 1 AS direction UNION ALL SELECT 'macro_mae_hrs', -1 UNION ALL SELECT 'fw_f1', 1
+         UNION ALL SELECT 'fw_mae_hrs', -1 UNION ALL SELECT 'fw_accuracy', 1),
 cmp AS (SELECT d.metric, d.direction, c.value AS champion, h.value AS challenger, h.value - c.value AS delta
         FROM dirs d JOIN mml c ON d.metric = c.metric AND c.model = {q(CHAMPION)}
                     JOIN mml h ON d.metric = h.metric AND h.model = {q(CHALLENGER)})

@@ -42,8 +42,8 @@ def test_request_cases(spark):
     assert bad.count() == 4
 
 
-CHAMP = {"macro_f1": .838, "macro_recall": .860, "macro_accuracy": .938, "macro_mae_e2e": .96,
-         "fw_f1": .935, "fw_recall": .941, "fw_accuracy": .943, "fw_mae_e2e": .80}
+CHAMP = {"macro_f1": .838, "macro_recall": .860, "macro_accuracy": .938, "macro_mae_hrs": .96,
+         "fw_f1": .935, "fw_recall": .941, "fw_accuracy": .943, "fw_mae_hrs": .80}
 
 
 def decide(spark, chall):
@@ -55,13 +55,13 @@ def decide(spark, chall):
 
 def test_rules_better_and_worse(spark):
     assert decide(spark, {"fw_f1": .940, "macro_f1": .840})[1] == "PROMOTED"
-    rules, d = decide(spark, {"fw_f1": .920, "fw_mae_e2e": .90})
-    assert d == "REJECTED" and not rules["R1"] and not rules["R2"] and rules["R3"]
+    rules, d = decide(spark, {"fw_f1": .920, "fw_mae_hrs": .90})
+    assert d == "REJECTED" and not rules["R1_fw_f1"] and not rules["R2_fw_mae"] and rules["R3_macro_f1"]
 
 
 def test_rule_boundaries_inclusive(spark):
     # values exactly on the bounds pass (computed the same way as the rules)
-    rules, d = decide(spark, {"fw_f1": .935 - 0.005, "fw_mae_e2e": .80 * 1.05, "macro_f1": .838 - 0.010})
+    rules, d = decide(spark, {"fw_f1": .935 - 0.005, "fw_mae_hrs": .80 * 1.05, "macro_f1": .838 - 0.010})
     assert d == "PROMOTED", rules
 
 
