@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from jobsheet.llm.common import make_folder, open_fs, run_folder, small_batches
 
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 250_000
 BLOCK_BYTES = 32 << 20
 #: Fixed value: digits, letters (A-Z lower-cased before) and everything beyond ASCII; as UTF-8 bytes.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")

@@ -55,7 +55,7 @@ class _Memo(dict):
 class TextEncoder:
     """``encode(text)`` returns the ids as little-endian bytes of ``dtype``."""
 
-    def __init__(self, path: str, memo: int = 500_000):
+    def __init__(self, path: str, memo: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

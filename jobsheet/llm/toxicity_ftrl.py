@@ -46,7 +46,7 @@ def _word_hashes(word: str) -> bytes:
                                          for k, w in enumerate((word, *(word[:n] for n in STEMS)))))
 
 
-_HASHES = _Memo(_word_hashes, 300_000)
+_HASHES = _Memo(_word_hashes, 100_000)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
