@@ -83,10 +83,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_surrogates")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from jobsheet.llm.surrogates import entities, replace_personal_data
+    from jobsheet.llm.surrogates import replace_personal_data
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(entities(F.col("text"))).alias("n_entities"))
-    return replace_personal_data(docs).withColumn("n_entities", F.greatest("n_entities", F.lit(0)))
+    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_entities")
 
 
 @query("op8_ngram_jaccard_join", oracles.OP8)

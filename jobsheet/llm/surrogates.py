@@ -41,8 +41,17 @@ PATTERNS = {
     "secret": r"(?<![\p{L}\d])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{32,64})(?![\p{L}\d])|(?<=password=)[^\s\"']+",
     "person": rf"(?<![\p{{L}}])(?:{_MALE}|{_FEMALE})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
-#: One pattern for all, in this order where two begin at the same place.
-ENTITY = "|".join(f"(?:{PATTERNS[k]})" for k in ("email", "ip", "card", "phone", "ssn", "iban", "secret", "person"))
+def _one_of(*kinds: str) -> str:
+    return "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
+
+
+#: Where no entity begins: at white space, and inside a word of Latin small letters.
+_NOT_HERE = r"(?!\s|[a-z](?<=[a-z][a-z]))"
+#: All but mailboxes, in this order where two begin at the same place; each begins with what its look-ahead names.
+_NO_MAILBOX = rf"(?=[\d+(])(?:{_one_of('ip', 'card', 'phone', 'ssn')})|(?=[A-Z])(?:{_one_of('iban')})|{_one_of('secret')}|(?=\p{{Lu}})(?:{_one_of('person')})"
+#: One pattern for all; a text without @ has no mailbox, so the shorter one finds the same in it.
+ENTITY = f"{_NOT_HERE}(?:{_one_of('email')}|{_NO_MAILBOX})"
+ENTITY_NO_MAILBOX = f"{_NOT_HERE}(?:{_NO_MAILBOX})"
 
 #: Syllables and endings that names are built of, by script; endings by gender.
 SYLLABLES = {"latin": "ba be da de fa ga ka la le li ma mi na no pa ra re sa ta ve".split(),
@@ -159,12 +168,19 @@ def entity_surrogate(e: str, attempts: str | None, key: str) -> str:
 
 
 def entities(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+    return F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))) \
+        .otherwise(F.regexp_extract_all(text, F.lit(ENTITY_NO_MAILBOX), F.lit(0)))
+
+
+def found_entities(docs: DataFrame, text_col: str) -> DataFrame:
+    """h (hash of the text) and e (its distinct entities) of the texts that have any, written once for all later steps."""
+    found = docs.select(F.xxhash64(F.col(f"`{text_col}`")).alias("h"), F.array_distinct(entities(F.col(f"`{text_col}`"))).alias("e"))
+    return keep(found.filter(F.size("e") > 0), "pii-entities")
 
 
-def corpus_parts(docs: DataFrame, text_col: str) -> DataFrame:
+def corpus_parts(found: DataFrame) -> DataFrame:
     """The distinct (kind, norm) of the corpus; repeated entities are combined before the shuffle."""
-    found = docs.select(F.explode(entities(F.col(text_col))).alias("e")).distinct()
+    found = found.select(F.explode("e").alias("e")).distinct()
     return found.select(F.explode(F.expr(parts_sql("e"))).alias("p")).select("p.kind", "p.norm").distinct()
 
 
@@ -192,9 +208,11 @@ def later_attempts(parts: DataFrame, key: str) -> DataFrame:
     raise ValueError("no distinct surrogates are left for some kind of personal data")
 
 
-def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "surrogate-key") -> DataFrame:
-    """``docs`` with every entity of the text replaced; columns and their order stay."""
-    later = later_attempts(corpus_parts(docs, text_col), key)
+def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "surrogate-key", count_col: str | None = None) -> DataFrame:
+    """``docs`` with every entity of the text replaced; columns and their order stay.  ``count_col`` adds the number of
+    the text's entities, 0 where it is null."""
+    found = found_entities(docs, text_col)
+    later = later_attempts(corpus_parts(found), key)
     columns = docs.columns
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text_col}`").alias("t"))
     attempts = None
@@ -203,16 +221,16 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
         if later.count() <= MAX_BROADCAST:
             named = F.broadcast(named)
         # texts with a later attempt, by text hash: equal texts need equal maps
-        found = source.select(F.xxhash64("t").alias("h"), F.explode(F.array_distinct(entities(F.col("t")))).alias("e")).distinct()
-        parts = found.select("h", F.explode(F.expr(parts_sql("e"))).alias("p")) \
+        parts = found.select("h", F.explode("e").alias("e")).distinct().select("h", F.explode(F.expr(parts_sql("e"))).alias("p")) \
             .select("h", F.concat_ws("|", "p.kind", "p.norm").alias("part")).distinct()
         maps = parts.join(named, "part").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("part", "attempt"))).alias("m"))
         source = source.withColumn("h", F.xxhash64("t")).join(maps, "h", "left") \
             .withColumn("m", F.coalesce("m", F.expr("cast(map() AS map<string,int>)")))
         attempts = "m"
-    cut = source.withColumns({"e": entities(F.col("t")), "gaps": F.expr("split(t, '{}', -1)".format(
-        ENTITY.replace("\\", "\\\\").replace("'", "\\'")))})
+    pattern = ENTITY.replace("\\", "\\\\").replace("'", "\\'")
+    cut = source.withColumn("e", entities(F.col("t"))).withColumn("gaps", F.expr(f"CASE WHEN size(e) > 0 THEN split(t, '{pattern}', -1) END"))
     new = F.expr(f"""CASE WHEN size(e) > 0 THEN concat(gaps[0], array_join(transform(e, (x, k) -> concat(
       {entity_surrogate('x', attempts, key)}, gaps[k + 1])), '')) ELSE t END""")
     out = cut.withColumn("new", new)
-    return out.select(*[F.col("new").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in columns])
+    count = [] if count_col is None else [F.greatest(F.coalesce(F.size("e"), F.lit(0)), F.lit(0)).alias(count_col)]
+    return out.select(*[F.col("new").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in columns], *count)
