@@ -99,11 +99,12 @@ def q_stream_outcome_join(spark, sf):
         F.count_if(~F.col("active") & (F.col("y") == 1)).alias("fn"), F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_dedup", None, "M")
+@query("stream_dedup", lambda: LOG + """
+SELECT request_id, any_value(user_id) AS user_id, any_value(target) AS target FROM lg GROUP BY request_id""", "M")
 def q_stream_dedup(spark, sf):
-    """Replayed request log with duplicates of (user, target) dropped
-    within the watermark."""
-    return run_available(SM.dedup_stream(_events(spark, sf)), "dedup").select("request_id", "user_id", "target")
+    """The request log arriving twice; each request stays once."""
+    log = SM.log_stream(table_stream(spark, sf, "events").unionByName(table_stream(spark, sf, "events")))
+    return run_available(SM.dedup_stream(log), "dedup").select("request_id", "user_id", "target")
 
 
 @query("stream_rolling_prevalence_28d", lambda: LOG + f"""
