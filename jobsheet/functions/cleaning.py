@@ -24,19 +24,25 @@ def clean_text(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    """Numeric or numeric string -> double; anything else -> null."""
-    return c.cast("string").try_cast("double")
+    """Numeric or numeric string -> double; anything else -> null, also the
+    JVM's own suffixes and hexadecimal forms (``90d``, ``1.5f``, ``0x1p3``)."""
+    s = c.cast("string")
+    return F.when(~s.rlike(r"(?i)0x|[0-9.][df]\s*$"), s.try_cast("double"))
+
+
+def _clamped(v: Column) -> Column:
+    """``max(0.0, v)``, which is 0 for NaN (Spark's ``greatest`` would keep it)."""
+    return F.greatest(F.lit(0.0), F.nanvl(F.coalesce(v, F.lit(0.0)), F.lit(0.0)))
 
 
 def clean_price(c: Column) -> Column:
     """``max(0.0, float(x or 0))``"""
-    return F.greatest(F.lit(0.0), F.coalesce(to_double(c), F.lit(0.0)))
+    return _clamped(to_double(c))
 
 
 def clean_time(c: Column, clamp: bool = False) -> Column:
     """``float(x or 0)``; batch mode keeps negatives, API mode clamps them."""
-    v = F.coalesce(to_double(c), F.lit(0.0))
-    return F.greatest(F.lit(0.0), v) if clamp else v
+    return _clamped(to_double(c)) if clamp else F.coalesce(to_double(c), F.lit(0.0))
 
 
 def clean_cost_center(c: Column, unknown: str = "unknown_cc", blank_is_null: bool = False) -> Column:

@@ -108,3 +108,9 @@ def test_result_independent_of_partitioning(spark):
     b = q_orders.q_order_features(spark, SF_SMALL)
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_suffixed_and_nan_numbers(spark):
+    rows = [(1, 1, 0, 0, "A", "90d", "1.5f", "x"), (1, 2, 0, 0, "B", "NaN", "0x1p3", "x"), (1, 3, 0, 0, "C", " 1e2 ", "inf", "x")]
+    got = P.clean_positions(frame(spark, rows), CFG, clamp_time=True).orderBy("line_no").collect()
+    assert [r.total_price for r in got] == [0, 0, 100] and [r.total_time for r in got] == [0, 0, math.inf]
