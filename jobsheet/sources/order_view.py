@@ -18,8 +18,9 @@ targets            per part type t: sum(l_quantity)/10 over the order's
 position order     (line_no, part_key, supp_key) - unique within an order
 =================  ==========================================================
 
-These rules rewrite values; they never drop rows.  The SQL oracle in
-:mod:`jobsheet.plans.oracle` states the same view in SQL.
+These rules rewrite values; they never drop rows (a line whose part is
+missing has an empty text and no cost center).  :mod:`jobsheet.plans.sqlbase`
+states the same view in SQL.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ def position_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_quantity", "l_extendedprice", "l_returnflag")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
-    return li.join(part, li.l_partkey == part.p_partkey, "inner")
+    return li.join(part, li.l_partkey == part.p_partkey, "left")
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
