@@ -74,20 +74,22 @@ def scores_long(spark, sf) -> DataFrame:
     return w.select("order_id", "split", "target", "y", "hours", "dur", F.inline(arr))
 
 
-def best_thresholds(spark, sf) -> DataFrame:
-    val = scores_long(spark, sf).where(F.col("split") == "val")
-    return TH.best_f1_threshold(val, ["model", "target"])
+def best_thresholds(spark, sf, scores: DataFrame | None = None) -> DataFrame:
+    """``scores``: the score table where it is already there (building it checkpoints twice)."""
+    scores = scores_long(spark, sf) if scores is None else scores
+    return TH.best_f1_threshold(scores.where(F.col("split") == "val"), ["model", "target"])
 
 
-def chosen(spark, sf) -> DataFrame:
+def chosen(spark, sf, scores: DataFrame | None = None) -> DataFrame:
     """F6 winner per target with its F1-optimal threshold."""
-    bt = best_thresholds(spark, sf)
+    bt = best_thresholds(spark, sf, scores)
     return TH.select_best_model(bt, ["target"], priority=MODELS, carry=("threshold",))
 
 
 def test_predictions(spark, sf) -> DataFrame:
-    test = scores_long(spark, sf).where(F.col("split") == "test")
-    ch = chosen(spark, sf).select("model", "target", "threshold")
+    scores = scores_long(spark, sf)
+    test = scores.where(F.col("split") == "test")
+    ch = chosen(spark, sf, scores).select("model", "target", "threshold")
     p = TH.apply_threshold(test, ch, ["model", "target"])
     return p.withColumn("pred_hours", J.cascade_hours(F.col("active"), F.col("dur")))
 
