@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 @dataclass
 class LearnerConfig:
-    gbt_iter: int = 50            # the original used 300 boosting rounds
-    gbt_depth: int = 5
+    gbt_iter: int = 300
+    gbt_depth: int = 5            # up to 32 leaves; the original has 31
     gbt_step: float = 0.05
     lr_max_iter: int = 1000
     ridge_alpha: float = 10.0

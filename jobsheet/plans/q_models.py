@@ -21,13 +21,13 @@ from jobsheet.operators import thresholds as TH
 from jobsheet.plans import sqlbase as S
 from jobsheet.plans.q_eval import full_eval_with, splits_frame, test_predictions
 from jobsheet.plans.q_orders import features_frame
-from jobsheet.plans.q_text import WORD_MAX, WORD_MIN_DF, word_terms
+from jobsheet.plans.q_text import CHAR_MAX, CHAR_MIN_DF, WORD_MAX, WORD_MIN_DF, char_terms, word_terms
 from jobsheet.plans.registry import query, round_doubles
 from jobsheet.session import checkpoint_dir
 from jobsheet.sources import order_view as V
 
 CFG = part_catalog()
-LCFG = LR.LearnerConfig(gbt_iter=10, gbt_depth=4, lr_max_iter=100, threads=4)
+LCFG = LR.LearnerConfig()  # the original's rounds and iterations
 r, big, q = S.r, S.big, S.q
 
 
@@ -42,27 +42,35 @@ def _release():
 
 def training_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
     """(order_id, split, y_<t>, h_<t>, features) persisted, plus the fitted
-    vocabulary.  Vocabulary and idf are fitted on the training split only."""
+    vocabularies (kind: word, char).  The features are the original's three
+    blocks, word TF-IDF, char TF-IDF and numeric; vocabularies and idf are
+    fitted on the training split only."""
     _release()
+    checkpoint_dir(spark)  # boosting cuts its lineage there every ten rounds
     from jobsheet.plans.q_orders import texts_frame
     feats = features_frame(spark, sf)
     sp = splits_frame(spark, sf).select("order_id", "split")
     docs = texts_frame(spark, sf).select("order_id", F.col("order_text").alias("text")).join(sp, "order_id")
-    vocab = D.fit_vocab(docs.where(F.col("split") == "train"), "order_id", word_terms(), WORD_MIN_DF, WORD_MAX)
-    vocab = vocab.cache()
-    wv = D.sparse_vectors(D.transform_frozen(docs, "order_id", word_terms(), vocab), "order_id", WORD_MAX,
-                          "v_word", keys=docs.select("order_id"))
+    train, keys, vecs, vocab = docs.where(F.col("split") == "train"), docs.select("order_id"), [], None
+    for kind, terms, min_df, size in (("word", word_terms(), WORD_MIN_DF, WORD_MAX), ("char", char_terms(), CHAR_MIN_DF, CHAR_MAX)):
+        fitted = D.fit_vocab(train, "order_id", terms, min_df, size).cache()
+        _PERSISTED.append(fitted)
+        vecs.append(D.sparse_vectors(D.transform_frozen(docs, "order_id", terms, fitted), "order_id", size,
+                                     f"v_{kind}", keys=keys))
+        fitted = fitted.withColumn("kind", F.lit(kind))
+        vocab = fitted if vocab is None else vocab.unionByName(fitted)
     num = P.feature_columns(CFG)
     wide = V.targets_wide(spark, sf, CFG)
     lab = wide.select("order_id", *[(F.col(t) > 0).cast("double").alias(f"y_{t}") for t in CFG.targets],
                       *[F.col(t).alias(f"h_{t}") for t in CFG.targets])
-    df = feats.select("order_id", *[F.col(c).cast("double") for c in num]).join(wv, "order_id") \
-        .join(sp, "order_id").join(lab, "order_id")
-    df = D.assemble(df, ["v_word", *num]).select("order_id", "split", *[f"y_{t}" for t in CFG.targets],
+    df = feats.select("order_id", *[F.col(c).cast("double") for c in num]).join(vecs[0], "order_id") \
+        .join(vecs[1], "order_id").join(sp, "order_id").join(lab, "order_id")
+    inputs = ["v_word", "v_char", *num]
+    df = D.assemble(df, inputs).select("order_id", "split", *[f"y_{t}" for t in CFG.targets],
                                                   *[f"h_{t}" for t in CFG.targets], "features")
     df = df.persist()
-    _PERSISTED.extend([df, vocab])
-    return df, vocab, ["v_word", *num]
+    _PERSISTED.append(df)
+    return df, vocab, inputs
 
 
 def _weighted(train: DataFrame, t: str) -> DataFrame:
@@ -186,26 +194,29 @@ VARIANTS = {  # G8 named variants: learner, winsorise, log1p
 
 @query("regression_variant_grid", None, "G")
 def q_regression_variant_grid(spark, sf):
-    """Six named variants for one target, argmin validation MAE."""
+    """Six named variants for every target, argmin validation MAE per target."""
     df, _, _ = training_frame(spark, sf)
-    t = CFG.targets[0]
-    train = df.where((F.col("split") == "train") & (F.col(f"h_{t}") > 0)).withColumnRenamed(f"h_{t}", "hours")
-    val = df.where((F.col("split") == "val") & (F.col(f"h_{t}") > 0)).withColumnRenamed(f"h_{t}", "hours")
-    rows = []
-    for i, (name, (kind, wins, log)) in enumerate(VARIANTS.items()):
-        tr = LR.winsorise_label(train, "hours") if wins else train
-        if log:
-            tr = tr.withColumn("hours", F.log1p("hours"))
-        m = LR.fit_regressor(tr, kind, cfg=LCFG)
-        p = LR.predict_value(m, val, "_y")
-        yhat = F.greatest(F.lit(0.0), F.col("_y"))
-        if log:
-            yhat = F.expm1(yhat)
-        mae = p.select(F.avg(F.abs(yhat - F.col("hours")))).first()[0]
-        rows.append((t, name, i, mae))
+
+    def grid(t):
+        train = df.where((F.col("split") == "train") & (F.col(f"h_{t}") > 0)).withColumnRenamed(f"h_{t}", "hours")
+        val = df.where((F.col("split") == "val") & (F.col(f"h_{t}") > 0)).withColumnRenamed(f"h_{t}", "hours")
+        rows = []
+        for i, (name, (kind, wins, log)) in enumerate(VARIANTS.items()):
+            tr = LR.winsorise_label(train, "hours") if wins else train
+            if log:
+                tr = tr.withColumn("hours", F.log1p("hours"))
+            m = LR.fit_regressor(tr, kind, cfg=LCFG)
+            p = LR.predict_value(m, val, "_y")
+            yhat = F.greatest(F.lit(0.0), F.col("_y"))
+            if log:
+                yhat = F.expm1(yhat)
+            mae = p.select(F.avg(F.abs(yhat - F.col("hours")))).first()[0]
+            rows.append((t, name, i, mae))
+        return rows
+    rows = [x for found in LR.fit_per_target(CFG.targets, grid, LCFG.threads).values() for x in found]
     g = spark.createDataFrame(rows, "target string, variant string, ord int, val_mae_pos double")
-    best = g.agg(F.min_by("variant", F.struct("val_mae_pos", "ord"))).scalar()
-    return round_doubles(g.withColumn("best", F.col("variant") == best).drop("ord"))
+    rank = F.row_number().over(Window.partitionBy("target").orderBy(F.col("val_mae_pos").asc_nulls_last(), "ord"))
+    return round_doubles(g.withColumn("best", rank == 1).drop("ord"))
 
 
 def _bundle_path(spark, name):
@@ -239,22 +250,21 @@ def q_frozen_clf_retrain_reg(spark, sf):
 
 @query("score_orders", None, "H")
 def q_score_orders(spark, sf):
-    """H1: bundle saved, re-loaded and applied to the test orders."""
+    """H1: bundle saved, re-loaded and applied to all orders."""
     b, df = build_bundle(spark, sf)
     path = _bundle_path(spark, "h1")
     H.save_bundle(b, path)
     loaded = H.load_bundle(path)
-    test = df.where(F.col("split") == "test")
-    return H.score(test, loaded).select("order_id", "predictions", "active_targets", "total_predicted_hours")
+    return H.score(df, loaded).select("order_id", "predictions", "active_targets", "total_predicted_hours")
 
 
 @query("format_response", None, "H")
 def q_format_response(spark, sf):
-    """H4: response documents (struct + JSON) for scored test orders."""
+    """H4: response documents (struct + JSON) for all scored orders."""
     b, df = build_bundle(spark, sf)
     feats = features_frame(spark, sf).select("order_id", "make", "total_time", "total_price")
     npos = V.positions(spark, sf).groupBy("order_id").agg(F.count(F.lit(1)).cast("int").alias("n_positions"))
-    scored = H.score(df.where(F.col("split") == "test"), b).join(feats, "order_id").join(npos, "order_id", "left") \
+    scored = H.score(df, b).join(feats, "order_id").join(npos, "order_id", "left") \
         .fillna(0, ["n_positions"])
     return H.format_response(scored, CFG.target_labels)
 
@@ -269,7 +279,7 @@ def q_linear_top_terms(spark, sf):
         coef = models[t].coefficients.toArray()[:WORD_MAX]
         rows += [(t, int(i), float(c)) for i, c in enumerate(coef) if c > 0]
     co = spark.createDataFrame(rows, "target string, idx int, coef double")
-    j = co.join(vocab.select("idx", "term"), "idx")
+    j = co.join(vocab.where(F.col("kind") == "word").select("idx", "term"), "idx")
     w = Window.partitionBy("target").orderBy(F.desc("coef"), "term")
     return round_doubles(j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5))
 
@@ -282,7 +292,7 @@ def q_tree_importance(spark, sf):
     num = P.feature_columns(CFG)
     rows = []
     for t in CFG.targets:
-        imp = models[t].featureImportances.toArray()[WORD_MAX:]
+        imp = models[t].featureImportances.toArray()[WORD_MAX + CHAR_MAX:]
         rows += [(t, num[i], float(v)) for i, v in enumerate(imp)]
     d = spark.createDataFrame(rows, "target string, feature string, importance double")
     w = Window.partitionBy("target").orderBy(F.desc("importance"), "feature")

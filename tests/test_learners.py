@@ -51,3 +51,30 @@ def test_fallback_constant(spark):
     assert LR.fit_regressor(df, "gbt") == ("const", 6.0)
     empty = df.limit(0)
     assert LR.fit_regressor(empty, "ridge") == ("const", 0.0)
+
+
+def test_model_queries_do_the_whole_job(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from jobsheet.operators import positions as P
+    from jobsheet.plans import q_models as M
+    from jobsheet.sources import order_view as V
+    assert (M.LCFG.gbt_iter, M.LCFG.gbt_depth, M.LCFG.lr_max_iter) == (300, 5, 1000)
+    df, vocab, inputs = M.training_frame(spark, SF_SMALL)
+    num = P.feature_columns(M.CFG)
+    assert inputs == ["v_word", "v_char", *num] and {r.kind for r in vocab.select("kind").distinct().collect()} == {"word", "char"}
+    assert df.first()["features"].size == M.WORD_MAX + M.CHAR_MAX + len(num)
+    # From here on without fits: which orders and targets are covered.
+    monkeypatch.setattr(M, "training_frame", lambda *a: (df, vocab, inputs))
+    monkeypatch.setattr(LR, "fit_regressor", lambda *a, **k: ("const", 1.0))
+    grid = M.q_regression_variant_grid(spark, SF_SMALL).collect()
+    assert {(r.target, r.variant) for r in grid} == {(t, v) for t in M.CFG.targets for v in M.VARIANTS}
+    assert sorted(r.target for r in grid if r.best) == sorted(M.CFG.targets)
+    monkeypatch.setattr(M, "build_bundle", lambda *a: (None, df))
+    monkeypatch.setattr(M.H, "save_bundle", lambda *a: None)
+    monkeypatch.setattr(M.H, "load_bundle", lambda *a: None)
+    monkeypatch.setattr(M.H, "score", lambda d, b: d.select("order_id", *[F.lit(0).alias(c) for c in ("predictions", "active_targets", "total_predicted_hours")]))
+    assert M.q_score_orders(spark, SF_SMALL).count() == V.headers(spark, SF_SMALL).count()
+    monkeypatch.setattr(M.H, "format_response", lambda d, labels: d)
+    assert M.q_format_response(spark, SF_SMALL).count() == V.headers(spark, SF_SMALL).count()
