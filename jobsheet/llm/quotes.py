@@ -8,7 +8,8 @@ Passages are normalised (case, white space, punctuation at the ends), hashed, an
 joined to the messages that said them: whole own texts, their paragraphs, or
 single lines; a quoted passage that matches none as a whole is tried line by
 line.  The original of a passage is the first message of the conversation
-that holds it; failing that, the first of any conversation.  Both are one row per
+that holds it; failing that, for passages of ``MIN_PASSAGE`` characters, the
+first of any conversation.  Both are one row per
 hash, combined before the shuffle, so a frequent line joins to one row and
 never to all its copies.  A message cannot quote itself or, in its
 conversation, a later one.
@@ -33,7 +34,7 @@ from jobsheet.llm.common import keep, partitions
 
 _MARKS = r"^[ \t]*(?:>[ \t]?)+"
 _ATTRIBUTION = r"(?i)^\s*(?:(?:on|am|le|el)\b.*(?:wrote|schrieb|écrit|escribió)|.*(?:wrote|schrieb|a écrit|escribió))\b.*:\s*$"
-MIN_PASSAGE = 8  #: characters a normalised passage needs to be linked; shorter ones ("ok") say nothing of their origin
+MIN_PASSAGE = 8  #: characters a normalised passage needs to be linked to another conversation; shorter ones ("ok") are linked within their own
 
 
 def _sql_text(pattern: str) -> str:
@@ -62,15 +63,19 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def _hash(text: str) -> Column:
-    return F.expr(f"IF(char_length({normalised(text)}) >= {MIN_PASSAGE}, sha2({normalised(text)}, 256), NULL)")
+    return F.expr(f"IF(char_length({normalised(text)}) > 0, sha2({normalised(text)}, 256), NULL)")
+
+
+def _short(text: str) -> Column:
+    return F.expr(f"char_length({normalised(text)}) < {MIN_PASSAGE}")
 
 
 def _linked(parsed: DataFrame) -> DataFrame:
     """One row per message that has a linked quote: conv, turn, h (of the text), p_conv, p_turn."""
     quoting = parsed.filter("max_level > 0").select("conv", "turn", F.xxhash64("text").alias("h"), F.posexplode("passages").alias("at", "p"))
-    whole = quoting.select("conv", "turn", "h", "at", "p.level", F.lit(-1).alias("line"), _hash("p.text").alias("key"))
-    single = quoting.filter("p.text LIKE '%\n%'").select("conv", "turn", "h", "at", "p.level", F.expr("posexplode(split(p.text, '\n')) AS (line, t)")) \
-        .select("conv", "turn", "h", "at", "level", "line", _hash("t").alias("key"))
+    whole = quoting.select("conv", "turn", "h", "at", "p.level", F.lit(0).alias("part"), _hash("p.text").alias("key"), _short("p.text").alias("short"))
+    single = quoting.filter("p.text LIKE '%\n%'").select("conv", "turn", "h", "at", "p.level", F.explode(F.expr("split(p.text, '\n')")).alias("t")) \
+        .select("conv", "turn", "h", "at", "level", F.lit(2).alias("part"), _hash("t").alias("key"), _short("t").alias("short"))
     quoted = keep(whole.unionByName(single).filter("key IS NOT NULL"), "quoted-passages")
     said = parsed.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode(F.expr(
         "array_distinct(concat(array(own), split(own, '\n[ \t]*\n'), split(own, '\n')))")).alias("t")) \
@@ -81,11 +86,11 @@ def _linked(parsed: DataFrame) -> DataFrame:
         .select("key", F.col("o.conv").alias("o_conv"), F.col("o.turn").alias("o_turn"))
     found = quoted.join(here.withColumnRenamed("turn", "here_turn"), ["key", "conv"], "left").join(elsewhere, "key", "left")
     own = F.col("here_turn") < F.col("turn")
-    other = F.col("here_turn").isNull() & F.col("o_turn").isNotNull()
+    other = F.col("here_turn").isNull() & F.col("o_turn").isNotNull() & ~F.col("short")
     found = found.withColumns({"p_conv": F.when(own, F.col("conv")).when(other, F.col("o_conv")),
                                "p_turn": F.when(own, F.col("here_turn")).when(other, F.col("o_turn"))}).filter("p_turn IS NOT NULL")
-    # Lowest level first, whole passages before lines, this conversation before others, its latest turn, then the first elsewhere.
-    rank = F.struct("level", F.when(F.col("line") < 0, 0).otherwise(1).alias("part"), (F.col("p_conv") != F.col("conv")).alias("away"),
+    # Lowest level first, whole passages before lines, short lines last, this conversation before others, its latest turn, then the first elsewhere.
+    rank = F.struct("level", F.when((F.col("part") > 0) & F.col("short"), 3).otherwise(F.col("part")).alias("part"), (F.col("p_conv") != F.col("conv")).alias("away"),
                     F.when(F.col("p_conv") == F.col("conv"), -F.col("p_turn")).otherwise(0).alias("late"), "p_conv", "p_turn")
     return found.groupBy("conv", "turn", "h").agg(F.min(rank).alias("best"), F.countDistinct("at").alias("n_linked")) \
         .select("conv", "turn", "h", "best.p_conv", "best.p_turn", "n_linked")

@@ -238,6 +238,17 @@ def test_quotes(spark):
     assert [g[1] for g in got if g[0] == 1] == [0, 1, 3, 2]  # a reply follows what it answers
 
 
+def parents(spark, data):
+    got = quotes.link(spark.createDataFrame(data, "conv_id long, turn int, role string, text string")).collect()
+    return {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in got if r.max_level}
+
+
+def test_short_quotes(spark):
+    data = [(1, 0, "u", "42?"), (1, 1, "a", "Yes."), (1, 2, "u", "> Yes.\nfine by me then"), (1, 3, "a", "> 42?\nof course it is"), (1, 4, "u", "今日は雨。"), (1, 5, "a", "> 今日は雨。\nbring an umbrella"),
+            (2, 0, "u", "> Yes.\nhas no original here"), (3, 0, "u", "The long line of text."), (3, 1, "a", "ok"), (3, 2, "u", "> The long line of text.\n> ok\n> and one more\nreply")]
+    assert parents(spark, data) == {(1, 2): (1, 1), (1, 3): (1, 0), (1, 5): (1, 4), (2, 0): (None, None), (3, 2): (3, 0)}
+
+
 def test_pipeline_matches_its_operators(spark):
     import corpus_pipeline
 
