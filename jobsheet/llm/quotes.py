@@ -6,10 +6,10 @@ attribution line ("... wrote:") above a quote.
 
 Passages are normalised (case, white space, punctuation at the ends), hashed, and
 joined to the messages that said them: whole own texts, their paragraphs, or
-single lines; a quoted passage that matches none as a whole is tried line by
-line.  The original of a passage is the first message of the conversation
+single lines; a quoted passage that matches none as a whole is tried by its
+paragraphs, then line by line.  The original of a passage is the first message of the conversation
 that holds it; failing that, for passages of ``MIN_PASSAGE`` characters, the
-first of any conversation.  Both are one row per
+first of any other conversation.  Both are one row per
 hash, combined before the shuffle, so a frequent line joins to one row and
 never to all its copies.  A message cannot quote itself or, in its
 conversation, a later one.
@@ -35,6 +35,7 @@ from jobsheet.llm.common import keep, partitions
 _MARKS = r"^[ \t]*(?:>[ \t]?)+"
 _ATTRIBUTION = r"(?i)^\s*(?:(?:on|am|le|el)\b.*(?:wrote|schrieb|écrit|escribió)|.*(?:wrote|schrieb|a écrit|escribió))\b.*:\s*$"
 MIN_PASSAGE = 8  #: characters a normalised passage needs to be linked to another conversation; shorter ones ("ok") are linked within their own
+SALTS = 16  #: parts of a frequent passage's conversations, where the second of them is sought
 
 
 def _sql_text(pattern: str) -> str:
@@ -74,9 +75,11 @@ def _linked(parsed: DataFrame) -> DataFrame:
     """One row per message that has a linked quote: conv, turn, h (of the text), p_conv, p_turn."""
     quoting = parsed.filter("max_level > 0").select("conv", "turn", F.xxhash64("text").alias("h"), F.posexplode("passages").alias("at", "p"))
     whole = quoting.select("conv", "turn", "h", "at", "p.level", F.lit(0).alias("part"), _hash("p.text").alias("key"), _short("p.text").alias("short"))
+    block = quoting.filter("p.text RLIKE '\n[ \t]*\n'").select("conv", "turn", "h", "at", "p.level", F.explode(F.expr("split(p.text, '\n[ \t]*\n')")).alias("t")) \
+        .select("conv", "turn", "h", "at", "level", F.lit(1).alias("part"), _hash("t").alias("key"), _short("t").alias("short"))
     single = quoting.filter("p.text LIKE '%\n%'").select("conv", "turn", "h", "at", "p.level", F.explode(F.expr("split(p.text, '\n')")).alias("t")) \
         .select("conv", "turn", "h", "at", "level", F.lit(2).alias("part"), _hash("t").alias("key"), _short("t").alias("short"))
-    quoted = keep(whole.unionByName(single).filter("key IS NOT NULL"), "quoted-passages")
+    quoted = keep(whole.unionByName(block).unionByName(single).filter("key IS NOT NULL"), "quoted-passages")
     said = parsed.filter("conv IS NOT NULL AND turn IS NOT NULL").select("conv", "turn", F.explode(F.expr(
         "array_distinct(concat(array(own), split(own, '\n[ \t]*\n'), split(own, '\n')))")).alias("t")) \
         .select("conv", "turn", _hash("t").alias("key")).filter("key IS NOT NULL")
@@ -85,11 +88,20 @@ def _linked(parsed: DataFrame) -> DataFrame:
     elsewhere = here.groupBy("key").agg(F.min(F.struct("conv", "turn")).alias("o")) \
         .select("key", F.col("o.conv").alias("o_conv"), F.col("o.turn").alias("o_turn"))
     found = quoted.join(here.withColumnRenamed("turn", "here_turn"), ["key", "conv"], "left").join(elsewhere, "key", "left")
-    own = F.col("here_turn") < F.col("turn")
-    other = F.col("here_turn").isNull() & F.col("o_turn").isNotNull() & ~F.col("short")
+    # The first elsewhere may be the own conversation, quoted before it said so; then the next conversation's counts.
+    salts = F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt")
+    first = found.filter("conv = o_conv AND here_turn >= turn AND NOT short").select("key", F.col("conv").alias("not_conv")).distinct()
+    others = here.withColumn("salt", F.expr(f"cast(pmod(xxhash64(conv), {SALTS}) AS int)")).join(first.select("key", "not_conv", salts), ["key", "salt"]) \
+        .filter("conv <> not_conv").groupBy("key", "salt").agg(F.min(F.struct("conv", "turn")).alias("o"))
+    others = others.groupBy("key").agg(F.min("o").alias("o")).select("key", F.col("o.conv").alias("n_conv"), F.col("o.turn").alias("n_turn"))
+    found = found.join(others, "key", "left")
+    same = F.coalesce(F.col("conv") == F.col("o_conv"), F.lit(False))
+    found = found.withColumns({"o_conv": F.when(same, F.col("n_conv")).otherwise(F.col("o_conv")), "o_turn": F.when(same, F.col("n_turn")).otherwise(F.col("o_turn"))})
+    own = F.coalesce(F.col("here_turn") < F.col("turn"), F.lit(False))
+    other = ~own & F.col("o_turn").isNotNull() & ~F.col("short")
     found = found.withColumns({"p_conv": F.when(own, F.col("conv")).when(other, F.col("o_conv")),
                                "p_turn": F.when(own, F.col("here_turn")).when(other, F.col("o_turn"))}).filter("p_turn IS NOT NULL")
-    # Lowest level first, whole passages before lines, short lines last, this conversation before others, its latest turn, then the first elsewhere.
+    # Lowest level first, whole passages before paragraphs before lines, short parts last, this conversation before others, its latest turn, then the first elsewhere.
     rank = F.struct("level", F.when((F.col("part") > 0) & F.col("short"), 3).otherwise(F.col("part")).alias("part"), (F.col("p_conv") != F.col("conv")).alias("away"),
                     F.when(F.col("p_conv") == F.col("conv"), -F.col("p_turn")).otherwise(0).alias("late"), "p_conv", "p_turn")
     return found.groupBy("conv", "turn", "h").agg(F.min(rank).alias("best"), F.countDistinct("at").alias("n_linked")) \

@@ -249,6 +249,14 @@ def test_short_quotes(spark):
     assert parents(spark, data) == {(1, 2): (1, 1), (1, 3): (1, 0), (1, 5): (1, 4), (2, 0): (None, None), (3, 2): (3, 0)}
 
 
+def test_quotes_from_elsewhere(spark):
+    passage, three = "This passage was sent around.", "First part of the letter\nwrapped here.\n\nThe second part of it.\n\nA third and last part."
+    data = [(5, 0, "u", passage), (6, 0, "u", f"> {passage}\n{passage}"), (6, 1, "a", "no"), (7, 0, "u", f"> {passage}\nlook at this"), (7, 1, "a", passage),
+            (1, 0, "u", f"> {passage}\nsee below"), (1, 1, "u", passage), (8, 0, "u", three), (8, 1, "a", "> First part of the\n> letter wrapped here.\n>\n> The second part\n> of it.\nagreed, both of them"),
+            (9, 0, "u", "> Nobody else said this.\nNobody else said this.")]
+    assert parents(spark, data) == {(6, 0): (1, 1), (7, 0): (1, 1), (1, 0): (5, 0), (8, 1): (8, 0), (9, 0): (None, None)}
+
+
 def test_pipeline_matches_its_operators(spark):
     import corpus_pipeline
 
