@@ -164,6 +164,13 @@ def test_suffix_dedup(spark, docs, rows, limit, monkeypatch):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == sorted(want)
 
 
+def test_periodic_grams_do_not_depend_on_the_pack():
+    passage = np.frombuffer((b"abcdefg" * 6)[:suffix_dedup.GRAM], np.uint8)
+    noise = np.random.default_rng(3).integers(0, 256, 1 << 18).astype(np.uint8)
+    alone, amid = suffix_dedup.gram_hashes(passage), suffix_dedup.gram_hashes(np.concatenate([noise, passage, noise]))
+    assert alone[0] >> np.uint64(63) == 1 and amid[len(noise)] == alone[0]
+
+
 def test_contamination(spark, docs, rows):
     tests = spark.createDataFrame([("a", " ".join(rows[0][1].split()[20:45])), ("b", "one TWO three"), ("c", None), ("d", "!!"), (None, "日本語")], "item_id string, text string")
     got = {(str(r.doc_id), r.n_hit > 0, tuple(r["items"])) for r in decontaminate.contamination(docs, tests).collect()}
