@@ -3,7 +3,8 @@
 The model sees hashed character n-grams of host and of path (marked apart, with
 their ends marked), present or absent.  It is trained on a small labelled url
 table: by default urls that a rule covers, the rule's verdict as label, at most
-``max_rows`` of each label, those that come first by hash.  All of it is
+``max_rows`` of each label, those that come first by hash, weighted to the
+label's number of distinct urls, so the bound does not move the class balance.  All of it is
 DataFrame functions and Spark ML, so it runs in the JVM.
 
 Defined results: a null url or one without ``://`` has empty host and path, no
@@ -74,11 +75,12 @@ def _hashing() -> HashingTF:
 
 
 def labelled(ruled: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """The labelled url table: host, path, label (1: block)."""
+    """The labelled url table: host, path, label (1: block), weight (distinct urls of the label for each one taken)."""
     def some(verdict: str) -> DataFrame:
         rows = ruled.filter(F.col("rule_verdict") == verdict).select("host", "path").distinct()
         return rows.orderBy(F.xxhash64("host", "path"), "host", "path").limit(max_rows) \
-            .withColumn("label", F.lit(float(verdict == BLOCK)))
+            .withColumns({"label": F.lit(float(verdict == BLOCK)),
+                          "weight": F.greatest(F.lit(1.0), rows.select(F.count(F.lit(1))).scalar() / F.lit(max_rows))})
 
     return some(ALLOW).unionByName(some(BLOCK))
 
@@ -89,9 +91,9 @@ def fit(table: DataFrame):
     labels = [r.label for r in small.select("label").distinct().collect()]  # two at most
     if len(labels) < 2:
         return labels[0] if labels else None
-    rows = _hashing().transform(with_grams(small)).select("label", "features").cache()
+    rows = _hashing().transform(with_grams(small)).select("label", "weight", "features").cache()
     try:
-        return LogisticRegression(maxIter=60, regParam=1e-3, aggregationDepth=2).fit(rows)
+        return LogisticRegression(weightCol="weight", maxIter=60, regParam=1e-3, aggregationDepth=2).fit(rows)
     finally:
         rows.unpersist()
 

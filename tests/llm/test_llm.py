@@ -209,6 +209,14 @@ def test_urls(spark):
     assert url_filter.judge(pages, url_filter.fit(url_filter.labelled(url_filter.apply_rules(url_filter.parse(pages.limit(0), "url"))))).filter("rule IS NULL AND verdict = 'block'").count() == 0
 
 
+def test_url_labels_keep_their_shares(spark):
+    urls = [f"http://a.com/{i}" for i in range(10)] + [f"http://a.net/es/{i}" for i in range(40)] + ["http://a.net/es/0"]
+    ruled = url_filter.apply_rules(url_filter.parse(spark.createDataFrame([(u,) for u in urls], "url string"), "url"))
+    for bound, taken in ((4, (4, 4)), (20, (10, 20)), (100, (10, 40))):
+        got = url_filter.labelled(ruled, bound).groupBy("label").agg(F.count("*"), F.sum("weight")).orderBy("label").collect()
+        assert [tuple(r) for r in got] == [(0.0, taken[0], 10.0), (1.0, taken[1], 40.0)]
+
+
 def test_lines(spark):
     data = [(i, f"own line {i} of document number{chr(97 + i % 26)}{i} " + "w " * 60 + f"\nMenu  ITEM {i}\nfooter", "a" if i % 2 else None) for i in range(60)] + [(99, None, "a"), (100, "", "a"), (101, "menu item 7", "a")]
     docs = spark.createDataFrame(data, "doc_id long, text string, source string")
