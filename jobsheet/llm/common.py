@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,12 @@ def drop_runs(spark: SparkSession) -> int:
     return len(paths)
 
 
+def delete_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a folder of this application whose table is no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def make_folder(spark: SparkSession, uri: str) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -57,6 +64,19 @@ def small_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 16) ->
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
 
 
+@contextlib.contextmanager
+def bounded_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 16):
+    """As ``small_batches`` for the jobs that run inside; the session's settings return afterwards."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = [spark.conf.get(n) for n in names]
+    small_batches(spark, rows, megabytes)
+    try:
+        yield
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

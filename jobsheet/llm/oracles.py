@@ -69,3 +69,26 @@ kept AS (SELECT doc_id, string_agg(substr(x, 2 * from_::BIGINT + 1, 2 * (to_ - f
 SELECT d.doc_id, n AS n_bytes, coalesce(t.n_removed, 0)::BIGINT AS n_removed, coalesce(t.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.x)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id) AS t USING (doc_id)
 """
+
+OP11 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+OP13 = rf"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+d AS (SELECT * FROM w WHERE len(t) > 0),
+k AS (SELECT count(*)::BIGINT AS docs, sum(len(t))::BIGINT AS words FROM d),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark) GROUP BY ALL),
+f AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+g AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight FROM (SELECT term, count(*) AS df FROM f GROUP BY term), k),
+p AS (SELECT r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))) AS part FROM f JOIN g USING (term), k),
+s AS (SELECT item_id, r, doc_id, sum(times * part)::BIGINT AS score FROM i JOIN p USING (term) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 20
+"""

@@ -100,3 +100,25 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from jobsheet.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_exact_topk", oracles.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.topk_search import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256)
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.whitening import fit, whitened_components
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitened_components(vectors, fit(vectors, k=16, scale=64, shift=1_000_000))
+
+
+@query("op13_ranked_lexical_search", oracles.OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from jobsheet.llm.reversed_search import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
