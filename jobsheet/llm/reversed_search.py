@@ -104,11 +104,11 @@ def _counts(shared):
                 times.append(c.astype("<i4").tobytes())
             keep_ = pa.array(np.flatnonzero(n), pa.int64())
             out = pa.RecordBatch.from_arrays([b.column("doc"), pa.array(n, pa.int64()), pa.array(found, pa.binary()), pa.array(times, pa.binary()),
-                                              pa.array([False] * len(n))], names=["doc", "n", "terms", "times", "is_sum"])
+                                              pa.array([False] * len(n), pa.bool_())], names=["doc", "n", "terms", "times", "is_sum"])
             yield out.take(keep_)
         at = np.flatnonzero(met)
         none = pa.nulls(len(at), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(met[at]), none, none, pa.array([True] * len(at))],
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(met[at]), none, none, pa.array([True] * len(at), pa.bool_())],
                                          names=["doc", "n", "terms", "times", "is_sum"])
     return run
 
