@@ -40,6 +40,8 @@ class OrderConfig:
     box_targets: tuple[str, ...] = ()
     conversion_factors: tuple[float, ...] = (6.0, 10.0, 12.0, 60.0, 1.0)
     target_labels: dict[str, str] = field(default_factory=dict)
+    # target -> stage-2 learner (G5): lgbm, ridge or ridge_auto; lgbm where a target isn't listed
+    best_regressor: dict[str, str] = field(default_factory=dict)
     unknown_cc: str = "unknown_cc"
     empty_placeholder: str = "[leer]"
 
@@ -136,6 +138,22 @@ BODY_SHOP_CC_TO_TARGETS = {
 }
 BODY_SHOP_BOX_TARGETS = ("bodymeasurement", "assembly", "paintingPreparation",
                          "paintingSpraying", "glas", "calibration", "cleaning", "dismounting")
+BODY_SHOP_BEST_REGRESSOR = {
+    "calibration": "lgbm",
+    "wheelmeasurement": "lgbm",
+    "bodymeasurement": "lgbm",
+    "dismounting": "lgbm",
+    "bodyrepair": "ridge",
+    "assembly": "ridge",
+    "plasticrepair": "lgbm",
+    "cleaning": "lgbm",
+    "paintingPreparation": "ridge",
+    "paintingSpraying": "lgbm",
+    "paintingFinish": "ridge",
+    "hailrepair": "ridge_auto",
+    "glas": "lgbm",
+    "allTiresService": "lgbm",
+}
 CONVERSION_FACTORS = (6.0, 10.0, 12.0, 60.0, 1.0)
 # --------------------------------------------------------------------------- end of fixed values
 
@@ -157,6 +175,7 @@ def body_shop() -> OrderConfig:
         box_targets=BODY_SHOP_BOX_TARGETS,
         conversion_factors=CONVERSION_FACTORS,
         target_labels=dict(BODY_SHOP_LABELS),
+        best_regressor=dict(BODY_SHOP_BEST_REGRESSOR),
     )
 
 
@@ -213,4 +232,5 @@ def part_catalog() -> OrderConfig:
         box_targets=PART_TYPES,
         conversion_factors=CONVERSION_FACTORS,
         target_labels={t: t.capitalize() for t in PART_TYPES},
+        best_regressor={"economy": "lgbm", "large": "ridge", "medium": "ridge", "promo": "lgbm", "small": "lgbm", "standard": "ridge_auto"},
     )

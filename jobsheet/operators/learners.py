@@ -1,158 +1,211 @@
-"""Stage 1 classifiers and stage 2 regressors on Spark ML.
+"""Stage 1 classifiers and stage 2 regressors (F1-F2, G1-G10, E5 within them).
 
-One cached feature DataFrame serves every target; the per-target fits are
-independent Spark jobs submitted from a small driver thread pool.  All
-parameter conversions from the original (scikit-learn style) settings are
-closed-form:
-
-* logistic regression, C=1 with sample weights  -> regParam = 1 / sum(w)
-* ridge, alpha                                   -> regParam = alpha * sd(y) / n
-  (population sd for the normal-equation solver)
+All targets, and all learners asked for, are fitted together over one training set: a job
+serves every open model at once (:mod:`~jobsheet.operators.boosting`, one
+job per tree level; :mod:`~jobsheet.operators.linear`, one per iteration).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
+import numpy as np
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobsheet.operators import thresholds as TH
+from jobsheet.operators.boosting import Settings, Spec, fit_trees
+from jobsheet.operators.linear import fit_linear
+from jobsheet.operators.matrix import Constant, predict, row_blocks
+
 
 @dataclass
 class LearnerConfig:
-    gbt_iter: int = 300
-    gbt_depth: int = 5            # up to 32 leaves; the original has 31
-    gbt_step: float = 0.05
+    gbt: Settings = field(default_factory=Settings)  # 300 rounds of 31 leaves, step 0.05
+    gbt_min_rows: int = 20
+    numeric_bins: int = 63
+    text_bins: int = 8
     lr_max_iter: int = 1000
+    lr_c: float = 1.0
     ridge_alpha: float = 10.0
+    ridge_max_iter: int = 2000
+    winsor_q: float = 0.95
     min_pos_for_model: int = 5
-    seed: int = 42
-    threads: int = 4
 
 
-def logistic_reg_param(total_weight: float, c: float = 1.0) -> float:
-    """Spark's regParam equivalent to an L2 logistic loss with C."""
-    return 1.0 / (c * total_weight)
+#: Learner names of stage 2: (family, objective, winsorised).
+REGRESSORS = {
+    "ridge": ("linear", "l2", False), "ridge_wins": ("linear", "l2", True),
+    "lgbm": ("trees", "l2", False), "lgbm_l1": ("trees", "l1", False),
+    "lgbm_wins": ("trees", "l2", True), "lgbm_l1_wins": ("trees", "l1", True),
+    "mean_fallback": ("constant", "mean", False), "median_fallback": ("constant", "median", False),
+}
 
 
-def ridge_reg_param(alpha: float, sd_y: float, n: int) -> float:
-    """G1: Spark's regParam equivalent to ridge with penalty alpha."""
-    return alpha * sd_y / n if sd_y > 0 else alpha / n
+class TrainingSet:
+    """A written matrix (order_id, split, labels, idx, val) and what is counted on its training split once."""
 
+    def __init__(self, matrix: DataFrame, targets: Sequence[str], features: Sequence[str], n_text: int):
+        self.matrix, self.targets, self.features, self.n_text = matrix, tuple(targets), list(features), n_text
+        self._blocks: RDD | None = None
+        self._stats: list | None = None
+
+    def split(self, name: str) -> DataFrame:
+        return self.matrix.where(F.col("split") == name)
+
+    def stats(self) -> list:
+        """Per target: rows, positives, their mean, median and winsor cap (training split)."""
+        if self._stats is None:
+            cols = []
+            for k, _ in enumerate(self.targets):
+                y = F.when(F.get("labels", F.lit(k)) > 0, F.get("labels", F.lit(k)))
+                cols.append(F.struct(F.count(F.lit(1)).alias("n"), F.count(y).alias("n_pos"), F.avg(y).alias("mean"),
+                                     F.percentile(y, F.lit(0.5)).alias("median"), F.percentile(y, F.lit(0.95)).alias("cap")).alias(f"s{k}"))
+            self._stats = list(self.split("train").select(*cols).first())
+        return self._stats
+
+    def blocks(self) -> RDD:
+        """The training rows as blocks in executors, until :meth:`close`."""
+        if self._blocks is None:
+            n = self.stats()[0]["n"] if self.targets else 0
+            self._blocks = row_blocks(self.split("train"), len(self.targets), n).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._blocks
+
+    def close(self) -> None:
+        if self._blocks is not None:
+            self._blocks.unpersist()
+            self._blocks = None
+
+    def most_bins(self, cfg: LearnerConfig):
+        n_text, text, numeric = self.n_text, cfg.text_bins, cfg.numeric_bins
+        return lambda f: text if f < n_text else numeric
 
-def fit_classifier(train: DataFrame, kind: str, label: str, features: str = "features",
-                   weight: str | None = "w", cfg: LearnerConfig | None = None):
-    """F1 (``gbt``) / F2 (``lr``) for one target."""
-    cfg = cfg or LearnerConfig()
-    if kind == "gbt":
-        from pyspark.ml.classification import GBTClassifier
-        est = GBTClassifier(featuresCol=features, labelCol=label, maxIter=cfg.gbt_iter,
-                            maxDepth=cfg.gbt_depth, stepSize=cfg.gbt_step, seed=cfg.seed)
-        if weight:
-            est = est.setWeightCol(weight)
-        return est.fit(train)
-    if kind == "lr":
-        from pyspark.ml.classification import LogisticRegression
-        tw = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
-        est = LogisticRegression(featuresCol=features, labelCol=label, maxIter=cfg.lr_max_iter,
-                                 regParam=logistic_reg_param(float(tw)), elasticNetParam=0.0,
-                                 standardization=False)
-        if weight:
-            est = est.setWeightCol(weight)
-        return est.fit(train)
-    raise ValueError(kind)
 
+def class_weight(n: int, n_pos: int) -> float:
+    """E2 for one target: weight of its positives."""
+    return max(1.0, (n - n_pos) / (n_pos + 1e-9))
 
-def fit_regressor(train_pos: DataFrame, kind: str, label: str = "hours", features: str = "features",
-                  cfg: LearnerConfig | None = None):
-    """G1 ridge / G2 GBT (L2) / G3 GBT (L1) / G4 mean or median fallback.
 
-    Returns a fitted Spark model or ``("const", value)``."""
+def _occurrence(k: int, w_pos: float):
+    def weigh(labels):
+        y = (labels[:, k] > 0).astype(float)
+        return y, np.where(y > 0, w_pos, 1.0)
+    return weigh
+
+
+def _hours(k: int, cap: float | None):
+    def weigh(labels):
+        y = labels[:, k]
+        return (np.minimum(y, cap) if cap is not None else y), (y > 0).astype(float)
+    return weigh
+
+
+def _side_by_side(parts):
+    def weigh(labels):
+        both = [p(labels) for p in parts]
+        return np.stack([y for y, _ in both], 1), np.stack([w for _, w in both], 1)
+    return weigh
+
+
+def fit_classifiers(ts: TrainingSet, kind: str, cfg: LearnerConfig | None = None) -> list:
+    """F1 (``lgbm``) / F2 (``lr``): one occurrence model per target, positives weighted."""
     cfg = cfg or LearnerConfig()
-    st = train_pos.agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("mean"),
-                       F.median(label).alias("median"), F.stddev_pop(label).alias("sd")).first()
-    n = int(st["n"])
-    if n < cfg.min_pos_for_model:
-        # zero positives -> 0.0 (the original produced NaN here)
-        return ("const", float(st["median"] if kind == "median_fallback" else st["mean"] or 0.0) if n else 0.0)
-    if kind == "ridge":
-        from pyspark.ml.regression import LinearRegression
-        est = LinearRegression(featuresCol=features, labelCol=label, solver="normal",
-                               regParam=ridge_reg_param(cfg.ridge_alpha, float(st["sd"] or 0.0), n),
-                               elasticNetParam=0.0, standardization=False)
-        return est.fit(train_pos)
-    if kind in ("gbt", "gbt_l1"):
-        from pyspark.ml.regression import GBTRegressor
-        est = GBTRegressor(featuresCol=features, labelCol=label, maxIter=cfg.gbt_iter, maxDepth=cfg.gbt_depth,
-                           stepSize=cfg.gbt_step, seed=cfg.seed,
-                           minInstancesPerNode=max(5, n // 10),
-                           lossType="absolute" if kind == "gbt_l1" else "squared")
-        return est.fit(train_pos)
-    if kind in ("mean_fallback", "median_fallback"):
-        return ("const", float(st["median"] if kind == "median_fallback" else st["mean"]))
+    parts = [_occurrence(k, class_weight(s["n"], s["n_pos"])) for k, s in enumerate(ts.stats())]
+    if kind == "lr":
+        return fit_linear(ts.blocks(), "logistic", len(ts.features), np.full(len(parts), 1 / cfg.lr_c), _side_by_side(parts), cfg.lr_max_iter)
+    if kind == "lgbm":
+        return fit_trees(ts.blocks(), ts.stats()[0]["n"], len(ts.features), [Spec("binary", p, cfg.gbt_min_rows) for p in parts], ts.most_bins(cfg), cfg.gbt)
     raise ValueError(kind)
 
 
-def predict_proba(model, df: DataFrame, out: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-    m = model.copy()
-    m = m.setProbabilityCol(f"_prob_{out}").setRawPredictionCol(f"_raw_{out}").setPredictionCol(f"_pred_{out}")
-    r = m.transform(df)
-    return r.withColumn(out, vector_to_array(F.col(f"_prob_{out}"))[1]).drop(
-        f"_prob_{out}", f"_raw_{out}", f"_pred_{out}")
-
-
-def predict_value(model, df: DataFrame, out: str) -> DataFrame:
-    if isinstance(model, tuple):
-        return df.withColumn(out, F.lit(float(model[1])))
-    m = model.copy().setPredictionCol(out)
-    return m.transform(df)
-
-
-def fit_per_target(targets: Sequence[str], fit: Callable[[str], object], threads: int = 4) -> dict:
-    """Run independent per-target fits concurrently (each is its own Spark
-    job over the same cached input)."""
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as ex:
-        futs = {t: ex.submit(fit, t) for t in targets}
-        return {t: f.result() for t, f in futs.items()}
-
-
-def winsorise_label(df: DataFrame, label: str, q: float = 0.95) -> DataFrame:
-    """E5 inside G6: clip the label at its q-quantile of positives."""
-    cap = df.where(F.col(label) > 0).select(F.percentile(label, F.lit(q))).scalar()
-    return df.withColumn(label, F.least(F.greatest(F.col(label), F.lit(0.0)), cap))
-
-
-def val_mae(model, val_pos: DataFrame, label: str = "hours") -> float | None:
-    """MAE of max(0, prediction) on validation positives (None if empty)."""
-    p = predict_value(model, val_pos, "_yhat")
-    r = p.agg(F.count(F.lit(1)).alias("n"),
-              F.avg(F.abs(F.greatest(F.lit(0.0), F.col("_yhat")) - F.col(label))).alias("mae")).first()
-    return None if not r["n"] else float(r["mae"])
-
-
-def ridge_auto(train_pos: DataFrame, val_pos: DataFrame, label: str = "hours", cfg: LearnerConfig | None = None):
-    """Plain vs winsorised ridge, keep the one with the smaller validation
-    MAE; strict '<' so plain wins ties and when there are no val positives."""
-    plain = fit_regressor(train_pos, "ridge", label, cfg=cfg)
-    wins = fit_regressor(winsorise_label(train_pos, label), "ridge", label, cfg=cfg)
-    mp, mw = val_mae(plain, val_pos, label), val_mae(wins, val_pos, label)
-    if mp is not None and mw is not None and mw < mp:
-        return wins, "winsorised", mw
-    return plain, "plain", mp
-
-
-def select_best_regressor(results: dict[str, tuple[object, float | None]]):
-    """Smallest validation MAE wins; ties keep the first listed learner."""
-    best = None
-    for name, (model, mae) in results.items():
-        if mae is None:
-            continue
-        if best is None or mae < best[2]:
-            best = (name, model, mae)
-    if best is None:
-        name, (model, mae) = next(iter(results.items()))
-        return name, model, mae
-    return best
+def fit_regressors(ts: TrainingSet, wanted: Sequence[tuple[str, str]], cfg: LearnerConfig | None = None) -> dict[tuple[str, str], object]:
+    """Models of ``wanted`` (target, learner) pairs on the target's positives, all in one pass per step.
+
+    Below ``min_pos_for_model`` positives a learner is replaced by the mean (0 without any)."""
+    cfg = cfg or LearnerConfig()
+    out: dict[tuple[str, str], object] = {}
+    trees, lines = [], []
+    for t, kind in wanted:
+        k = ts.targets.index(t)
+        s = ts.stats()[k]
+        family, objective, wins = REGRESSORS[kind]
+        if family == "constant" or s["n_pos"] < cfg.min_pos_for_model:
+            out[t, kind] = Constant(float(s["median" if objective == "median" else "mean"] or 0.0))
+        else:
+            weigh = _hours(k, float(s["cap"]) if wins else None)
+            if family == "trees":
+                trees.append(((t, kind), Spec(objective, weigh, max(5, s["n_pos"] // 10))))
+            else:
+                lines.append(((t, kind), weigh))
+    if trees:
+        found = fit_trees(ts.blocks(), ts.stats()[0]["n"], len(ts.features), [x for _, x in trees], ts.most_bins(cfg), cfg.gbt)
+        out |= {key: m for (key, _), m in zip(trees, found)}
+    if lines:
+        found = fit_linear(ts.blocks(), "squared", len(ts.features), np.full(len(lines), cfg.ridge_alpha), _side_by_side([x for _, x in lines]), cfg.ridge_max_iter)
+        out |= {key: m for (key, _), m in zip(lines, found)}
+    return out
+
+
+# ------------------------------------------------------------------ validation
+def occurrence_scores(ts: TrainingSet, models: Sequence, split: str = "val") -> DataFrame:
+    """(order_id, target, y, hours, p) of a split."""
+    scored = predict(ts.split(split).select("order_id", "labels", "idx", "val"), models, "scores")
+    rows = F.transform(F.sequence(F.lit(0), F.lit(len(ts.targets) - 1)), lambda i: F.struct(
+        F.get(F.array(*[F.lit(t) for t in ts.targets]), i).alias("target"), F.get("labels", i).alias("hours"), F.get("scores", i).alias("p")))
+    return scored.select("order_id", F.inline(rows)).select("order_id", "target", (F.col("hours") > 0).cast("int").alias("y"), "hours", "p")
+
+
+def tuned_thresholds(ts: TrainingSet, models: Sequence) -> DataFrame:
+    """F4 on the validation split."""
+    return TH.best_f1_threshold(occurrence_scores(ts, models), ["target"])
+
+
+def val_maes(ts: TrainingSet, models: dict[tuple[str, str], object], split: str = "val") -> dict[tuple[str, str], float | None]:
+    """MAE of max(0, prediction) on a split's positives, for every (target, learner), in one job; None without positives."""
+    keys = list(models)
+    if not keys:
+        return {}
+    scored = predict(ts.split(split).select("labels", "idx", "val"), [models[k] for k in keys], "scores")
+    aggs = []
+    for j, (t, _) in enumerate(keys):
+        y = F.get("labels", F.lit(ts.targets.index(t)))
+        aggs.append(F.avg(F.when(y > 0, F.abs(F.greatest(F.lit(0.0), F.get("scores", F.lit(j))) - y))).alias(f"m{j}"))
+    row = scored.select(*aggs).first()
+    return dict(zip(keys, row))
+
+
+def ridge_auto(target: str, models: dict, maes: dict) -> tuple[object, str, float | None]:
+    """The winsorised ridge where its validation MAE is smaller; plain wins ties and missing values."""
+    plain, wins = (target, "ridge"), (target, "ridge_wins")
+    if maes[plain] is not None and maes[wins] is not None and maes[wins] < maes[plain]:
+        return models[wins], "winsorised", maes[wins]
+    return models[plain], "plain", maes[plain]
+
+
+def dispatch(ts: TrainingSet, best: dict[str, str], cfg: LearnerConfig | None = None) -> tuple[dict[str, object], dict[str, str], dict[str, float | None]]:
+    """Each target's configured learner, fitted together; (model, choice, validation MAE) by target."""
+    wanted = []
+    for t in ts.targets:
+        kind = best.get(t, "lgbm")
+        wanted += [(t, "ridge"), (t, "ridge_wins")] if kind == "ridge_auto" else [(t, kind)]
+    models = fit_regressors(ts, wanted, cfg)
+    maes = val_maes(ts, models)
+    chosen, choice, mae = {}, {}, {}
+    for t in ts.targets:
+        kind = best.get(t, "lgbm")
+        if kind == "ridge_auto":
+            chosen[t], how, mae[t] = ridge_auto(t, models, maes)
+            choice[t] = "ridge" if how == "plain" else "ridge_wins"
+        else:
+            chosen[t], choice[t], mae[t] = models[t, kind], kind, maes[t, kind]
+        if isinstance(chosen[t], Constant):
+            choice[t] = "fallback"
+    return chosen, choice, mae
+
+
+def select_best_regressor(results: dict[str, float | None]) -> str:
+    """Smallest validation MAE; ties and missing values keep the first listed."""
+    found = [(m, k, name) for k, (name, m) in enumerate(results.items()) if m is not None]
+    return min(found)[2] if found else next(iter(results))

@@ -222,7 +222,7 @@ def eda_order_features(pos: DataFrame, headers: DataFrame, cfg: OrderConfig,
 
 
 def nested_order_features(orders: DataFrame, cfg: OrderConfig, positions_col: str = "positions",
-                          key: str = "order_id") -> DataFrame:
+                          key: str = "order_id", carry: Sequence[str] = ()) -> DataFrame:
     """C1-C6 computed inside each order document with higher-order functions:
     no shuffle, no state - the form used for streams of whole orders.
 
@@ -274,4 +274,26 @@ def nested_order_features(orders: DataFrame, cfg: OrderConfig, positions_col: st
     full_text = F.array_join(F.transform(ps, lambda p: F.lower(p["text"])), " ")
     for name, pat in cfg.keyword_flags.items():
         cols[name] = search(full_text, pat).cast("int")
-    return orders.select(key, *[v.alias(k) for k, v in cols.items()])
+    return orders.select(key, *[v.alias(k) for k, v in cols.items()], *[F.col(c) for c in carry])
+
+
+def nested_order_row(orders: DataFrame, cfg: OrderConfig, positions_col: str = "positions", key: str = "order_id") -> DataFrame:
+    """The whole feature row (C1-C8 without the make count) and the texts of raw orders (order_id, make, positions), inside the row.
+
+    ``raw_positions`` counts the list as it came, ``texts`` are its stripped non-empty texts in order."""
+    none = F.array().cast(orders.schema[positions_col].dataType)
+    named = orders.select(key, F.coalesce(F.col(positions_col), none).alias("_ps"), F.col("make").alias("_make"))
+    f = nested_order_features(named, cfg, "_ps", key, carry=("_ps", "_make"))
+    kept = F.filter(F.transform("_ps", lambda p: F.struct(
+        C.clean_text(p["text"]).alias("text"), C.clean_price(p["totalPrice"]).alias("price"), C.clean_time(p["totalTime"]).alias("time"))),
+        lambda p: useful(p["price"], p["time"]) & (p["text"] != ""))
+    make = C.clean_make(F.col("_make"))
+    derived = {"make": make, "order_text": F.array_join(F.transform(kept, lambda p: F.lower(p["text"])), " "),
+               "texts": F.filter(F.transform("_ps", lambda p: C.clean_text(p["text"])), lambda x: x != ""),
+               "raw_positions": F.size("_ps").cast("long")}
+    derived |= {f"ratio_{c}_time": safe_div(F.col(f"time_{c}"), F.col("total_time")) for c in cfg.ratio_time_ccs}
+    derived |= {f"ratio_{c}_price": safe_div(F.col(f"price_{c}"), F.col("total_price")) for c in cfg.ratio_price_ccs}
+    derived |= {f"has_{c}_cc": (F.col(f"n_{c}") > 0).cast("int") for c in cfg.flag_ccs}
+    derived |= {make_col(m): (make == m).cast("int") for m in cfg.top_makes}
+    derived["make_other"] = (~make.isin(list(cfg.top_makes))).cast("int")
+    return f.withColumns(derived).drop("_ps", "_make")

@@ -1,8 +1,8 @@
 """Scoring and explanation (G9, H1-H6) and the model bundle.
 
-Scoring is row-local: each target's classifier and regressor append a
-column to the same order rows, so the prediction map is assembled without
-any grouping (no shuffle), identically for batch and streaming input.
+Scoring works inside the row: a raw order is cleaned, featurised, vectorised with the
+bundle's frozen vocabulary, aligned to its feature order and scored without a
+shuffle, identically for batch and streaming input.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,13 +19,20 @@ from jobsheet.config import OrderConfig
 from jobsheet.functions import cleaning as C
 from jobsheet.functions.regex import search
 from jobsheet.functions.stats import rnd
-from jobsheet.operators import learners as LR
+from jobsheet.operators import positions as P
+from jobsheet.operators import text as D
+from jobsheet.operators.labels import with_placeholder
+from jobsheet.operators.matrix import Constant, Linear, Trees, predict
+from jobsheet.sources.versions import VersionStore
+
+#: Raised whenever a saved bundle's parts or columns change.
+FORMAT = 2
 
 
 @dataclass
 class Bundle:
-    """Everything needed to score: per-target models, thresholds, choices,
-    the frozen vocabulary and the feature order."""
+    """Everything needed to score raw orders: per-target models, thresholds, choices,
+    the numeric features in order, the frozen vocabulary and the make counts."""
     targets: tuple[str, ...]
     clf: dict[str, object]
     clf_kind: dict[str, str]
@@ -32,92 +40,147 @@ class Bundle:
     reg: dict[str, object]
     reg_kind: dict[str, str]
     feature_order: list[str]
-    vocab: DataFrame | None = None
-    make_freq: DataFrame | None = None
+    vocab: DataFrame
+    make_freq: DataFrame
     info: dict = field(default_factory=dict)
 
 
-REQUIRED_PARTS = ("manifest", "clf", "reg", "thresholds", "feature_order", "vocab", "make_freq")
-
-
-def save_bundle(b: Bundle, path: str) -> None:
-    """A9 save: ML models per (stage, target) + small parquet side tables."""
-    spark = SparkSession.getActiveSession()
-    for t in b.targets:
-        b.clf[t].write().overwrite().save(f"{path}/clf/{t}")
-        if not isinstance(b.reg[t], tuple):
-            b.reg[t].write().overwrite().save(f"{path}/reg/{t}")
-    rows = [(t, b.clf_kind[t], float(b.thresholds[t]), b.reg_kind[t],
-             float(b.reg[t][1]) if isinstance(b.reg[t], tuple) else None) for t in b.targets]
-    spark.createDataFrame(rows, "target string, clf_kind string, threshold double, reg_kind string, "
-                                "reg_const double").write.mode("overwrite").parquet(f"{path}/thresholds")
-    spark.createDataFrame(list(enumerate(b.feature_order)), "idx int, feature string") \
-        .write.mode("overwrite").parquet(f"{path}/feature_order")
-    if b.vocab is not None:
-        b.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    if b.make_freq is not None:
-        b.make_freq.write.mode("overwrite").parquet(f"{path}/make_freq")
-    spark.createDataFrame([(json.dumps({"targets": list(b.targets), **b.info}),)], "manifest string") \
-        .write.mode("overwrite").json(f"{path}/manifest")
-    for part in ("clf", "reg"):  # marker so an all-constant stage still exists
-        spark.createDataFrame([(part,)], "part string").write.mode("overwrite").parquet(f"{path}/{part}/_part")
-
-
-def load_bundle(path: str) -> Bundle:
-    """A9 load: every required part must exist, else one error naming all
-    missing parts (the I5 'required minus present' check)."""
-    spark = SparkSession.getActiveSession()
-
-    def readable(part: str) -> bool:
-        fmt, sub = ("json", part) if part == "manifest" else \
-            ("parquet", f"{part}/_part" if part in ("clf", "reg") else part)
+#: Part -> the columns it must have.
+REQUIRED_PARTS = {
+    "manifest": {"manifest"}, "models": {"stage", "target", "kind", "logistic", "base", "weights", "feature", "cut", "left", "right", "value", "gain", "roots"},
+    "thresholds": {"target", "threshold", "clf_kind", "reg_kind"}, "feature_order": {"idx", "feature"},
+    "vocab": {"kind", "idx", "term", "idf"}, "make_freq": {"make_clean", "make_freq"},
+}
+_MODELS = ("stage string, target string, kind string, logistic boolean, base double, weights array<double>, feature array<long>, cut array<double>, "
+           "left array<long>, right array<long>, value array<double>, gain array<double>, roots array<long>")
+
+
+def _model_row(stage: str, target: str, m) -> tuple:
+    if isinstance(m, Constant):
+        return (stage, target, "constant", False, float(m.value), *[None] * 8)
+    if isinstance(m, Linear):
+        return (stage, target, "linear", m.logistic, float(m.intercept), m.weights.tolist(), *[None] * 7)
+    return (stage, target, "trees", m.logistic, float(m.base), None, *[x.tolist() for x in (m.feature, m.cut, m.left, m.right, m.value, m.gain, m.roots)])
+
+
+def _model(r):
+    if r.kind == "constant":
+        return Constant(r.base)
+    if r.kind == "linear":
+        return Linear(np.array(r.weights), r.base, r.logistic)
+    return Trees(r.base, np.array(r.feature, np.int64), np.array(r.cut, float), np.array(r.left, np.int64), np.array(r.right, np.int64),
+                 np.array(r.value, float), np.array(r.gain, float), np.array(r.roots, np.int64), r.logistic)
+
+
+def save_bundle(b: Bundle, root: str) -> int:
+    """A9 save: the parts into a new version folder below ``root``, then the pointer; returns the version number."""
+    spark = b.vocab.sparkSession
+    store = VersionStore(spark, root)
+    path = store.new_folder()
+    models = [_model_row("clf", t, b.clf[t]) for t in b.targets] + [_model_row("reg", t, b.reg[t]) for t in b.targets]
+    spark.createDataFrame(models, _MODELS).write.parquet(f"{path}/models")
+    spark.createDataFrame([(t, float(b.thresholds[t]), b.clf_kind[t], b.reg_kind[t]) for t in b.targets],
+                          "target string, threshold double, clf_kind string, reg_kind string").write.parquet(f"{path}/thresholds")
+    spark.createDataFrame(list(enumerate(b.feature_order)), "idx int, feature string").write.parquet(f"{path}/feature_order")
+    b.vocab.write.parquet(f"{path}/vocab")
+    b.make_freq.write.parquet(f"{path}/make_freq")
+    manifest = json.dumps(b.info | {"format": FORMAT, "targets": list(b.targets)})
+    spark.createDataFrame([(manifest,)], "manifest string").write.json(f"{path}/manifest")
+    return store.publish(path)
+
+
+def read_bundle(spark: SparkSession, path: str) -> Bundle:
+    """A9 load of one version folder: every part must be there with its columns, else one error names all that aren't."""
+    parts, bad = {}, []
+    for part, columns in REQUIRED_PARTS.items():
         try:
-            spark.read.format(fmt).load(f"{path}/{sub}").schema
-            return True
+            parts[part] = spark.read.format("json" if part == "manifest" else "parquet").load(f"{path}/{part}")
+            lacking = sorted(columns - set(parts[part].columns))
+            if lacking:
+                bad.append(f"{part} ({', '.join(lacking)})")
         except Exception:  # missing path or unreadable part
-            return False
-    missing = [x for x in REQUIRED_PARTS if not readable(x)]
-    if missing:
-        raise ValueError(f"model bundle at {path} is missing: {', '.join(missing)}")
-    man = json.loads(spark.read.json(f"{path}/manifest").first()["manifest"])
-    th = {r["target"]: r for r in spark.read.parquet(f"{path}/thresholds").collect()}  # one row per target
-    from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
-    from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
-    clf, reg = {}, {}
-    for t in man["targets"]:
-        k = th[t]["clf_kind"]
-        clf[t] = (GBTClassificationModel if k == "gbt" else LogisticRegressionModel).load(f"{path}/clf/{t}")
-        rk = th[t]["reg_kind"]
-        if th[t]["reg_const"] is not None:
-            reg[t] = ("const", th[t]["reg_const"])
-        else:
-            reg[t] = (LinearRegressionModel if rk == "ridge" else GBTRegressionModel).load(f"{path}/reg/{t}")
-    fo = [r["feature"] for r in spark.read.parquet(f"{path}/feature_order").orderBy("idx").collect()]
-    return Bundle(tuple(man["targets"]), clf, {t: th[t]["clf_kind"] for t in th},
-                  {t: th[t]["threshold"] for t in th}, reg, {t: th[t]["reg_kind"] for t in th}, fo,
-                  spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/make_freq"), man)
-
-
-def score(df: DataFrame, b: Bundle, features: str = "features") -> DataFrame:
-    """H1 + G9: per target probability (4 dp), active flag, hours (2 dp)."""
-    out = df
-    for t in b.targets:
-        out = LR.predict_proba(b.clf[t], out, f"_p_{t}")
-        out = LR.predict_value(b.reg[t], out, f"_d_{t}")
-    preds = {}
-    for t in b.targets:
-        p = F.col(f"_p_{t}")
-        active = p >= F.lit(b.thresholds[t])
-        hours = F.when(active, F.greatest(F.lit(0.0), F.col(f"_d_{t}"))).otherwise(F.lit(0.0))
-        preds[t] = F.struct(rnd(p, 4).alias("prob"), active.alias("active"),
-                            rnd(hours, 2).alias("predicted_hours"),
-                            rnd(F.lit(float(b.thresholds[t])), 2).alias("threshold"))
-    out = out.withColumn("predictions", F.map_from_arrays(
-        F.array(*[F.lit(t) for t in b.targets]), F.array(*[preds[t] for t in b.targets])))
-    out = out.withColumn("active_targets", active_steps(F.col("predictions"), b.targets))
-    total = sum(F.col("predictions")[t]["predicted_hours"] for t in b.targets)
-    out = out.withColumn("total_predicted_hours", rnd(total, 2))
-    return out.drop(*[f"_p_{t}" for t in b.targets], *[f"_d_{t}" for t in b.targets])
+            bad.append(part)
+    if bad:
+        raise ValueError(f"model bundle at {path} is missing: {', '.join(bad)}")
+    man = json.loads(parts["manifest"].first()["manifest"])
+    if man.get("format") != FORMAT:
+        raise ValueError(f"model bundle at {path} has format {man.get('format')}, not {FORMAT}")
+    models = {(r.stage, r.target): _model(r) for r in parts["models"].collect()}  # two rows per target
+    th = {r["target"]: r for r in parts["thresholds"].collect()}
+    targets = tuple(man["targets"])
+    without = [f"{stage} of {t}" for t in targets for stage in ("clf", "reg") if (stage, t) not in models or t not in th]
+    if without:
+        raise ValueError(f"model bundle at {path} is missing: {', '.join(without)}")
+    order = [r["feature"] for r in parts["feature_order"].orderBy("idx").collect()]
+    return Bundle(targets, {t: models["clf", t] for t in targets}, {t: th[t]["clf_kind"] for t in targets}, {t: th[t]["threshold"] for t in targets},
+                  {t: models["reg", t] for t in targets}, {t: th[t]["reg_kind"] for t in targets}, order, parts["vocab"], parts["make_freq"], man)
+
+
+def load_bundle(spark: SparkSession, root: str) -> Bundle:
+    """The current version below ``root``."""
+    now = VersionStore(spark, root).current()
+    if now is None:
+        raise ValueError(f"no model bundle at {root}")
+    b = read_bundle(spark, now["folder"])
+    b.info["version"] = now["number"]
+    return b
+
+
+# ------------------------------------------------------------------ scoring
+def score_raw(orders: DataFrame, b: Bundle, cfg: OrderConfig, explain: bool = False) -> DataFrame:
+    """H1 + G9 on raw orders (order_id, make, positions of raw structs).
+
+    Adds per target probability (4 dp), active flag, hours (2 dp) and threshold, the active targets and the
+    total; with ``explain`` the explanation of every active target (H3).  ``n_positions`` counts the raw list."""
+    feats = P.nested_order_row(orders, cfg)
+    feats = feats.join(b.make_freq.withColumnRenamed("make_freq", "_seen"), F.col("make") == F.col("make_clean"), "left") \
+        .withColumn("make_freq", F.coalesce(F.col("_seen"), F.lit(1))).drop("_seen", "make_clean")
+    vocabularies = [D.Vocabulary.of(b.vocab.where(F.col("kind") == k)) for k in ("word", "char")]
+    have = set(feats.columns)
+    numeric = [F.col(c) if c in have else F.lit(0.0) for c in b.feature_order]  # B9: missing -> 0, others left out
+    doc = with_placeholder(F.col("order_text"), cfg.empty_placeholder)
+    texts = [(D.word_ngrams(D.word_tokens(doc), 2), vocabularies[0]), (D.char_wb_ngrams(doc), vocabularies[1])]
+    feats = feats.withColumn("flags", F.array(*[F.col(k) for k in cfg.keyword_flags]))
+    rows = D.vectorise(feats, ["order_id", "make", "raw_positions", "total_time", "total_price", "flags", "texts"], texts, numeric)
+    scored = predict(rows, [*[b.clf[t] for t in b.targets], *[b.reg[t] for t in b.targets]], "scores")
+    n = len(b.targets)
+    preds = []
+    for k, t in enumerate(b.targets):
+        p = F.get("scores", F.lit(k))
+        active = p >= F.lit(float(b.thresholds[t]))
+        hours = F.when(active, F.greatest(F.lit(0.0), F.get("scores", F.lit(n + k)))).otherwise(F.lit(0.0))
+        preds.append(F.struct(rnd(p, 4).alias("prob"), active.alias("active"), rnd(hours, 2).alias("predicted_hours"),
+                              rnd(F.lit(float(b.thresholds[t])), 2).alias("threshold")))
+    out = scored.withColumn("predictions", F.map_from_arrays(F.array(*[F.lit(t) for t in b.targets]), F.array(*preds)))
+    out = out.withColumn("active_targets", active_steps(F.col("predictions"), b.targets)) \
+        .withColumn("total_predicted_hours", rnd(sum(F.col("predictions")[t]["predicted_hours"] for t in b.targets), 2))
+    if explain:
+        out = out.withColumn("explanation", row_explanation(F.col("active_targets"), F.col("flags"), F.col("texts"), cfg))
+    return out.withColumnRenamed("raw_positions", "n_positions").drop("idx", "val", "scores", "flags", "texts")
+
+
+def row_explanation(active: Column, flags: Column, texts: Column, cfg: OrderConfig, k: int = 3) -> Column:
+    """H3 inside the row: for each active target the triggered keywords, and the first ``k`` distinct position
+    texts (cut to 80 characters before) that match one of its patterns.
+
+    ``flags`` holds the order's keyword flags, ``texts`` the stripped non-empty position texts in order."""
+    names = list(cfg.keyword_flags)
+    targets = [t for t in cfg.target_keywords if t in cfg.targets]
+
+    def entry(t):
+        kws = cfg.target_keywords[t]
+        hit = F.filter(F.array(*[F.when(F.get(flags, F.lit(names.index(kw))) == 1, F.lit(kw.removeprefix("kw_"))) for kw in kws]), lambda x: x.isNotNull())
+
+        def matches(x):
+            found = F.lit(False)
+            for kw in kws:
+                found = found | search(x, cfg.keyword_flags[kw])
+            return found
+        cut = F.transform(F.filter(texts, matches), lambda x: F.left(x, F.lit(80)))
+        return F.struct(hit.alias("triggered_keywords"), F.slice(F.array_distinct(cut), 1, k).alias("matching_positions"))
+    none = F.struct(F.array().cast("array<string>").alias("triggered_keywords"), F.array().cast("array<string>").alias("matching_positions"))
+    pairs = [F.when(F.array_contains(active, F.lit(t)), F.struct(F.lit(t).alias("key"), (entry(t) if t in targets else none).alias("value"))) for t in cfg.targets]
+    return F.map_from_entries(F.array_compact(F.array(*pairs)))
 
 
 def active_steps(pred_map: Column, targets: Sequence[str]) -> Column:
@@ -175,13 +238,16 @@ def explain(pos: DataFrame, feats: DataFrame, active: DataFrame, cfg: OrderConfi
         "matching_positions", F.coalesce(F.col("matching_positions"), F.array().cast("array<string>")))
 
 
-def format_response(scored: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """H4: the response document as a struct + JSON string."""
-    lab = F.create_map(*[x for t, l in labels.items() for x in (F.lit(t), F.lit(l))])
+def format_response(scored: DataFrame, targets: Sequence[str], labels: dict[str, str]) -> DataFrame:
+    """H4: the response document as a struct + JSON string; a target without a label is called by its id."""
+    def entry(t):
+        v = F.col("predictions")[t]
+        return F.struct(F.lit(labels.get(t, t)).alias("label"), v["active"].alias("active"), v["prob"].alias("probability"),
+                        v["threshold"].alias("threshold"), v["predicted_hours"].alias("predicted_hours"))
+    predictions = F.map_from_arrays(F.array(*[F.lit(t) for t in targets]), F.array(*[entry(t) for t in targets]))
+    explanation = [F.col("explanation")] if "explanation" in scored.columns else []
     resp = F.struct(
-        F.col("order_id"), F.col("make"), F.col("n_positions"),
-        rnd(F.col("total_time"), 2).alias("total_input_time_hrs"),
-        rnd(F.col("total_price"), 2).alias("total_input_price_eur"),
-        F.transform_values("predictions", lambda k, v: v.withField("label", lab[k])).alias("predictions"),
-        F.col("active_targets"), F.col("total_predicted_hours"))
+        F.col("make"), F.col("n_positions"),
+        F.struct(rnd(F.col("total_time"), 2).alias("total_time_hrs"), rnd(F.col("total_price"), 2).alias("total_price_eur")).alias("input_summary"),
+        predictions.alias("predictions"), F.col("active_targets").alias("active_steps"), F.col("total_predicted_hours"), *explanation)
     return scored.select("order_id", resp.alias("response"), F.to_json(resp).alias("response_json"))

@@ -1,10 +1,10 @@
 """Text vectorisation (D1-D10), relational.
 
-Documents become ``(doc, term, tf)`` rows (an explode per document, no
-shuffle); document frequencies and corpus counts are one aggregation; the
-vocabulary is capped at ``max_features`` rows, so it is a proven-small
-broadcast side for the weighting join; the L2 norm is a per-document sum.
-The weights equal a sublinear-tf, smoothed-idf, L2-normalised TF-IDF:
+A document is one row, so its term counts and norm never leave the row:
+fitting shuffles one partial (term, df, count) row per task and term, and
+weighting looks each document's terms up in the frozen vocabulary (at most
+``max_features`` rows) batch by batch, without a shuffle.  The weights equal a
+sublinear-tf, smoothed-idf, L2-normalised TF-IDF:
 
     w = (1 + ln tf) * (ln((1 + N) / (1 + df)) + 1),  then w / ||w||_2
 """
@@ -12,10 +12,16 @@ The weights equal a sublinear-tf, smoothed-idf, L2-normalised TF-IDF:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsheet.operators.matrix import flat_lists
+
 # (?U): \w and \b are Unicode-aware, as in Python 3 str patterns
 WORD_PATTERN = r"(?U)\b[\w\+]+\b"
 
@@ -72,9 +78,13 @@ def term_stats(tc: DataFrame, doc: str) -> DataFrame:
 def vocab_select(tc: DataFrame, doc: str, min_df: int, max_features: int) -> DataFrame:
     """Df >= min_df, then the max_features most frequent terms (ties by
     term), indexed 0.. in term order."""
-    st = term_stats(tc, doc).where(F.col("df") >= min_df)
-    top = st.orderBy(F.desc("ctf"), F.asc("term")).limit(max_features)
+    return select_top(term_stats(tc, doc), min_df, max_features)
+
+
+def select_top(stats: DataFrame, min_df: int, max_features: int) -> DataFrame:
+    """D4 on (term, df, ctf) rows."""
     from pyspark.sql import Window
+    top = stats.where(F.col("df") >= min_df).orderBy(F.desc("ctf"), F.asc("term")).limit(max_features)
     return top.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 
@@ -83,51 +93,88 @@ def idf_table(vocab: DataFrame, n_docs: Column | int) -> DataFrame:
     return vocab.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
 
 
-def tfidf(tc: DataFrame, idf: DataFrame, doc: str) -> DataFrame:
-    """Weights of vocabulary terms, L2-normalised per document.
+def corpus_terms(docs: DataFrame, terms: Column) -> DataFrame:
+    """Per term: document frequency and corpus count, in one shuffle of partial sums.
 
-    ``idf`` is at most max_features rows -> broadcast (a bound set by the
-    vocabulary size parameter, not by the data)."""
-    j = tc.join(F.broadcast(idf.select("term", "idx", "idf")), "term")
-    w = j.withColumn("w", (1 + F.log(F.col("tf"))) * F.col("idf"))
-    norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, doc).select(doc, "term", "idx", (F.col("w") / F.col("_norm")).alias("weight"))
+    In the sorted terms of a document the first of equal ones stands for the document."""
+    d = docs.select(F.sort_array(terms).alias("_t"))
+    marked = F.transform("_t", lambda t, i: F.struct(t.alias("term"), (F.coalesce(F.get("_t", i - 1), F.lit("")) != t).cast("long").alias("first")))
+    return d.select(F.inline(marked)).groupBy("term").agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("ctf"))
 
 
 def fit_vocab(docs: DataFrame, doc: str, terms: Column, min_df: int, max_features: int) -> DataFrame:
     """Vocabulary + idf fitted on ``docs`` (D4 + D5 fit side)."""
-    tc = term_counts(docs, doc, terms)
     n = docs.select(F.count(F.lit(1))).scalar()  # scalar subquery, no driver round trip
-    return idf_table(vocab_select(tc, doc, min_df, max_features), n)
+    return idf_table(select_top(corpus_terms(docs, terms), min_df, max_features), n)
+
+
+@dataclass
+class Vocabulary:
+    """A frozen vocabulary: terms by index with their idf."""
+    terms: pa.Array
+    idf: np.ndarray
+
+    @staticmethod
+    def of(fitted: DataFrame) -> Vocabulary:
+        rows = sorted(fitted.select("idx", "term", "idf").collect())  # at most max_features rows
+        return Vocabulary(pa.array([r.term for r in rows], pa.string()), np.array([r.idf for r in rows]))
+
+    def weights(self, column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, index, weight) of an Arrow column of term lists, by row and index."""
+        offsets, _ = flat_lists(column.cast(pa.list_(pa.string())))
+        found = pc.index_in(column.flatten().cast(pa.string()), value_set=self.terms).fill_null(-1).to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        known = found >= 0
+        cell, tf = np.unique(row[known] * max(len(self.terms), 1) + found[known], return_counts=True)
+        row, at = np.divmod(cell, max(len(self.terms), 1))
+        w = (1 + np.log(tf)) * self.idf[at]
+        norm = np.sqrt(np.bincount(row, w * w, minlength=len(offsets) - 1))
+        return row, at, w / norm[row]
+
+
+def _lists(row: np.ndarray, n: int, *columns: np.ndarray) -> list[pa.ListArray]:
+    offsets = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
+
+
+def vectorise(df: DataFrame, keep: Sequence[str], texts: Sequence[tuple[Column, Vocabulary]], numeric: Sequence[Column] = ()) -> DataFrame:
+    """[TF-IDF blocks || numeric] as sparse rows ``idx``, ``val`` beside the columns ``keep``; nothing is shuffled.
+
+    The blocks lie one after another, each as wide as its vocabulary; zeros are left out."""
+    vocabularies = [v for _, v in texts]
+    starts = np.cumsum([0, *[len(v.terms) for v in vocabularies]])
+    shared = df.sparkSession.sparkContext.broadcast(vocabularies)  # at most max_features terms each
+    sources = df.select(*keep, *[t.alias(f"_t{k}") for k, (t, _) in enumerate(texts)],
+                        (F.array(*[c.cast("double") for c in numeric]) if numeric else F.array().cast("array<double>")).alias("_num"))
+    keep, width = list(keep), len(numeric)
+
+    def run(batches):
+        for b in batches:
+            parts = []
+            for k, v in enumerate(shared.value):
+                row, at, w = v.weights(b.column(f"_t{k}"))
+                parts.append((row, at + starts[k], w))
+            num = flat_lists(b.column("_num"))[1].astype(np.float64).reshape(b.num_rows, width)
+            row, at = np.nonzero(num)
+            parts.append((row, at + starts[-1], num[row, at]))
+            row, at, w = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((at, row))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *_lists(row[order], b.num_rows, at[order].astype(np.int32), w[order])],
+                                             names=[*keep, "idx", "val"])
+    schema = sources.select(*keep).withColumn("idx", F.array(F.lit(0))).withColumn("val", F.array(F.lit(0.0))).schema
+    return sources.mapInArrow(run, schema)
 
 
 def transform_frozen(docs: DataFrame, doc: str, terms: Column, fitted: DataFrame) -> DataFrame:
-    """Weight new documents with a saved vocabulary / idf, never refit."""
-    return tfidf(term_counts(docs, doc, terms), fitted, doc)
+    """Weight new documents with a saved vocabulary / idf, never refit: (doc, term, idx, weight)."""
+    v = Vocabulary.of(fitted)
+    rows = vectorise(docs, [doc], [(terms, v)])
+    names = F.array(*[F.lit(t) for t in v.terms.to_pylist()]) if len(v.terms) else F.array().cast("array<string>")
+    return rows.select(doc, F.inline(F.arrays_zip("idx", F.col("val").alias("weight")))).select(
+        doc, F.get(names, F.col("idx")).alias("term"), "idx", "weight")
 
 
 # ------------------------------------------------------------ vectors
-def sparse_vectors(weights: DataFrame, doc: str, size: int, out: str = "features",
-                   keys: DataFrame | None = None) -> DataFrame:
-    """(doc, idx, weight) rows -> one SparseVector per document.
-
-    The per-document entry list is bounded by the vocabulary size; the
-    vector itself is built by a tiny per-row helper (Spark SQL has no sparse
-    vector constructor).  With ``keys`` every listed document gets a vector
-    (all-zero when it has no vocabulary term)."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    @F.udf(returnType=VectorUDT())
-    def to_sparse(idx, val):
-        pairs = sorted(zip(idx or [], val or []))
-        return SparseVector(size, [int(i) for i, _ in pairs], [float(v) for _, v in pairs])
-
-    g = weights.groupBy(doc).agg(F.collect_list("idx").alias("_i"), F.collect_list("weight").alias("_v"))
-    if keys is not None:
-        g = keys.join(g, doc, "left")
-    return g.select(doc, to_sparse("_i", "_v").alias(out))
-
-
 def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features") -> DataFrame:
     """Horizontal concatenation of vector and numeric columns."""
     from pyspark.ml.feature import VectorAssembler

@@ -1,25 +1,28 @@
 """Learner, bundle and scoring queries.
 
 Model fits have no SQL form; those queries are checked by row count here
-and by closed-form / invariant tests in ``tests/``.  Explanations, active
+and by single-node versions, optima and invariants in ``tests/``.  Explanations, active
 steps and the batch summaries run on the deterministic pseudo-score
 predictions and carry SQL oracles.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsheet.config import part_catalog
+from jobsheet.operators import labels as L
 from jobsheet.operators import learners as LR
+from jobsheet.operators import metrics as J
 from jobsheet.operators import positions as P
 from jobsheet.operators import scoring as H
-from jobsheet.operators import split as E
 from jobsheet.operators import text as D
-from jobsheet.operators import thresholds as TH
+from jobsheet.operators.matrix import predict
 from jobsheet.plans import sqlbase as S
-from jobsheet.plans.q_eval import full_eval_with, splits_frame, test_predictions
+from jobsheet.plans.q_eval import TRAIN_LONG, eval_with, full_eval_with, scores_sql, splits_frame, test_predictions
 from jobsheet.plans.q_orders import features_frame
 from jobsheet.plans.q_text import CHAR_MAX, CHAR_MIN_DF, WORD_MAX, WORD_MIN_DF, char_terms, word_terms
 from jobsheet.plans.registry import query, round_doubles
@@ -31,272 +34,286 @@ LCFG = LR.LearnerConfig()  # the original's rounds and iterations
 r, big, q = S.r, S.big, S.q
 
 
-_PERSISTED: list[DataFrame] = []
-
-
-def _release():
-    """Unpersist the previous query's training data (one at a time)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-def training_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(order_id, split, y_<t>, h_<t>, features) persisted, plus the fitted
-    vocabularies (kind: word, char).  The features are the original's three
-    blocks, word TF-IDF, char TF-IDF and numeric; vocabularies and idf are
-    fitted on the training split only."""
-    _release()
-    checkpoint_dir(spark)  # boosting cuts its lineage there every ten rounds
-    from jobsheet.plans.q_orders import texts_frame
-    feats = features_frame(spark, sf)
-    sp = splits_frame(spark, sf).select("order_id", "split")
-    docs = texts_frame(spark, sf).select("order_id", F.col("order_text").alias("text")).join(sp, "order_id")
-    train, keys, vecs, vocab = docs.where(F.col("split") == "train"), docs.select("order_id"), [], None
-    for kind, terms, min_df, size in (("word", word_terms(), WORD_MIN_DF, WORD_MAX), ("char", char_terms(), CHAR_MIN_DF, CHAR_MAX)):
-        fitted = D.fit_vocab(train, "order_id", terms, min_df, size).cache()
-        _PERSISTED.append(fitted)
-        vecs.append(D.sparse_vectors(D.transform_frozen(docs, "order_id", terms, fitted), "order_id", size,
-                                     f"v_{kind}", keys=keys))
-        fitted = fitted.withColumn("kind", F.lit(kind))
-        vocab = fitted if vocab is None else vocab.unionByName(fitted)
-    num = P.feature_columns(CFG)
-    wide = V.targets_wide(spark, sf, CFG)
-    lab = wide.select("order_id", *[(F.col(t) > 0).cast("double").alias(f"y_{t}") for t in CFG.targets],
-                      *[F.col(t).alias(f"h_{t}") for t in CFG.targets])
-    df = feats.select("order_id", *[F.col(c).cast("double") for c in num]).join(vecs[0], "order_id") \
-        .join(vecs[1], "order_id").join(sp, "order_id").join(lab, "order_id")
-    inputs = ["v_word", "v_char", *num]
-    df = D.assemble(df, inputs).select("order_id", "split", *[f"y_{t}" for t in CFG.targets],
-                                                  *[f"h_{t}" for t in CFG.targets], "features")
-    df = df.persist()
-    _PERSISTED.append(df)
-    return df, vocab, inputs
-
-
-def _weighted(train: DataFrame, t: str) -> DataFrame:
-    cw = E.class_weights(train.select(F.col(f"y_{t}").cast("int").alias("y")).withColumn("target", F.lit(t)))
-    w_pos = cw.select("w_pos").scalar()
-    return train.withColumn("w", F.when(F.col(f"y_{t}") == 1, w_pos).otherwise(F.lit(1.0)))
-
-
-def train_classifiers(df: DataFrame, kind: str) -> tuple[dict, DataFrame]:
-    """Fit one classifier per target, tune its F1 threshold on validation."""
-    train, val = df.where(F.col("split") == "train"), df.where(F.col("split") == "val")
-
-    def fit(t):
-        return LR.fit_classifier(_weighted(train, t), kind, f"y_{t}", cfg=LCFG)
-    models = LR.fit_per_target(CFG.targets, fit, LCFG.threads)
-    scored = None
-    for t in CFG.targets:
-        s = LR.predict_proba(models[t], val, "p").select(
-            F.lit(t).alias("target"), F.col(f"y_{t}").cast("int").alias("y"), "p")
-        scored = s if scored is None else scored.unionByName(s)
-    th = TH.best_f1_threshold(scored, ["target"]).withColumn("model", F.lit(kind))
-    return models, th
-
-
-def train_regressors(df: DataFrame, kind: str) -> tuple[dict, DataFrame]:
-    train, val = df.where(F.col("split") == "train"), df.where(F.col("split") == "val")
-
-    def fit(t):
-        tp = train.where(F.col(f"h_{t}") > 0).withColumnRenamed(f"h_{t}", "hours")
-        return LR.fit_regressor(tp, kind, "hours", cfg=LCFG)
-    models = LR.fit_per_target(CFG.targets, fit, LCFG.threads)
-    rows = []
-    for t in CFG.targets:
-        vp = val.where(F.col(f"h_{t}") > 0).withColumnRenamed(f"h_{t}", "hours")
-        rows.append((t, kind, LR.val_mae(models[t], vp)))
-    spark = df.sparkSession
-    return models, spark.createDataFrame(rows, "target string, model string, val_mae_pos double")
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = _folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """What the learner queries of one application share for one data folder: the written training
+    matrix, its frozen vocabularies and the models fitted so far.  Everything is written
+    tables or small arrays on the driver, so no query can take away another's data."""
+
+    _open: dict[tuple[str, str], Workspace] = {}
+
+    @classmethod
+    def of(cls, spark, sf) -> Workspace:
+        key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+        if key not in cls._open:
+            cls._open = {k: w for k, w in cls._open.items() if k[0] == key[0]}  # of this application
+            cls._open[key] = cls(spark, sf)
+        return cls._open[key]
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
+        splits = splits_frame(spark, sf).select("order_id", "split")
+        headers = V.headers(spark, sf)
+        self.make_freq = _written(P.make_frequency(headers.join(splits.where(F.col("split") == "train"), "order_id", "left_semi")), "make-freq")
+        feats = P.order_features(P.clean_positions(V.positions(spark, sf), CFG), headers, CFG, self.make_freq)
+        wide = V.targets_wide(spark, sf, CFG)
+        self.features = P.feature_columns(CFG)
+        rows = feats.join(splits, "order_id").join(wide.select("order_id", F.array(*CFG.targets).alias("labels")), "order_id").select(
+            "order_id", "split", "labels", L.with_placeholder(F.col("order_text"), CFG.empty_placeholder).alias("text"),
+            F.array(*[F.col(c).cast("double") for c in self.features]).alias("num"))
+        rows = _written(rows, "training-rows")
+        train = rows.where(F.col("split") == "train")
+        word = D.fit_vocab(train, "order_id", word_terms(), WORD_MIN_DF, WORD_MAX).withColumn("kind", F.lit("word"))
+        char = D.fit_vocab(train, "order_id", char_terms(), CHAR_MIN_DF, CHAR_MAX).withColumn("kind", F.lit("char"))
+        self.vocab = _written(word.unionByName(char), "vocabulary")
+        self.word, self.char = (D.Vocabulary.of(self.vocab.where(F.col("kind") == k)) for k in ("word", "char"))
+        n = len(self.features)
+        matrix = D.vectorise(rows, ["order_id", "split", "labels"], [(word_terms(), self.word), (char_terms(), self.char)],
+                             [F.get("num", F.lit(j)) for j in range(n)])
+        names = [f"word:{t}" for t in self.word.terms.to_pylist()] + [f"char:{t}" for t in self.char.terms.to_pylist()] + self.features
+        self.training = LR.TrainingSet(_written(matrix, "training-matrix"), CFG.targets, names, len(names) - n)
+        self._fitted: dict = {}
+
+    def once(self, key, fit):
+        if key not in self._fitted:
+            self._fitted[key] = fit()
+        return self._fitted[key]
+
+    def classifiers(self, kind: str) -> list:
+        return self.once(("clf", kind), lambda: LR.fit_classifiers(self.training, kind, LCFG))
+
+    def thresholds(self, kind: str) -> DataFrame:
+        return self.once(("thr", kind), lambda: _written(LR.tuned_thresholds(self.training, self.classifiers(kind)), "thresholds"))
+
+    def regressors(self, *kinds: str) -> dict:
+        """(target, learner) -> model, for all targets; what is missing is fitted together."""
+        have = self.once("reg", dict)
+        missing = [(t, k) for k in kinds for t in CFG.targets if (t, k) not in have]
+        have |= LR.fit_regressors(self.training, missing, LCFG)
+        return {(t, k): have[t, k] for t in CFG.targets for k in kinds}
+
+    def close(self) -> None:
+        self.training.close()
+        self._open.pop((self.spark.sparkContext.applicationId, self.sf.rstrip("/")), None)
+
+    def bundle(self, clf_kind: str = "lr") -> H.Bundle:
+        """Classifiers of one kind with their tuned thresholds, regressors by the dispatch table."""
+        def build():
+            thr = {x["target"]: x["threshold"] for x in self.thresholds(clf_kind).collect()}  # one row per target
+            reg, choice, _ = LR.dispatch(self.training, CFG.best_regressor, LCFG)
+            return H.Bundle(CFG.targets, dict(zip(CFG.targets, self.classifiers(clf_kind))), {t: clf_kind for t in CFG.targets}, thr, reg, choice,
+                            list(self.features), self.vocab, self.make_freq, {"clf": clf_kind})
+        return self.once(("bundle", clf_kind), build)
+
+
+def _fit_frame(spark, rows, schema):
+    return round_doubles(spark.createDataFrame(rows, schema))
+
+
+def _maes(w: Workspace, models: dict) -> DataFrame:
+    rows = [(t, k, m) for (t, k), m in LR.val_maes(w.training, models).items()]
+    return _fit_frame(w.spark, rows, "target string, model string, val_mae_pos double")
 
 
 @query("fit_gbt_classifier", None, "F")
 def q_fit_gbt_classifier(spark, sf):
     """boosted trees per target with class weights; F4 threshold on val."""
-    df, vocab, _ = training_frame(spark, sf)
-    _, th = train_classifiers(df, "gbt")
-    return round_doubles(th)
+    return round_doubles(Workspace.of(spark, sf).thresholds("lgbm").withColumn("model", F.lit("lgbm")))
 
 
 @query("fit_logistic", None, "F")
 def q_fit_logistic(spark, sf):
     """weighted L2 logistic regression per target (C=1 equivalent)."""
-    df, vocab, _ = training_frame(spark, sf)
-    _, th = train_classifiers(df, "lr")
-    return round_doubles(th)
+    return round_doubles(Workspace.of(spark, sf).thresholds("lr").withColumn("model", F.lit("lr")))
 
 
 @query("fit_ridge", None, "G")
 def q_fit_ridge(spark, sf):
     """G1: ridge (alpha=10) on positives; validation-positive MAE."""
-    df, _, _ = training_frame(spark, sf)
-    return round_doubles(train_regressors(df, "ridge")[1])
+    w = Workspace.of(spark, sf)
+    return _maes(w, w.regressors("ridge"))
 
 
 @query("fit_gbt_regressor", None, "G")
 def q_fit_gbt_regressor(spark, sf):
     """Boosted regression trees (squared loss) on positives."""
-    df, _, _ = training_frame(spark, sf)
-    return round_doubles(train_regressors(df, "gbt")[1])
+    w = Workspace.of(spark, sf)
+    return _maes(w, w.regressors("lgbm"))
 
 
 @query("fit_gbt_regressor_l1", None, "G")
 def q_fit_gbt_regressor_l1(spark, sf):
     """Boosted regression trees with absolute loss."""
-    df, _, _ = training_frame(spark, sf)
-    return round_doubles(train_regressors(df, "gbt_l1")[1])
+    w = Workspace.of(spark, sf)
+    return _maes(w, w.regressors("lgbm_l1"))
 
 
-@query("mean_fallback", None, "G")
+@query("mean_fallback", lambda: eval_with(scores_sql(), TRAIN_LONG) + f"""
+SELECT target, {r('avg(hours)')} AS mean_hours, {r('median(hours)')} AS median_hours FROM trl WHERE hours > 0 GROUP BY target""", "G")
 def q_mean_fallback(spark, sf):
     """Constant mean / median of training positives per target."""
-    df, _, _ = training_frame(spark, sf)
-    rows = []
-    train = df.where(F.col("split") == "train")
-    for t in CFG.targets:
-        tp = train.where(F.col(f"h_{t}") > 0).withColumnRenamed(f"h_{t}", "hours")
-        rows.append((t, LR.fit_regressor(tp, "mean_fallback", cfg=LCFG)[1],
-                     LR.fit_regressor(tp, "median_fallback", cfg=LCFG)[1]))
-    return round_doubles(spark.createDataFrame(rows, "target string, mean_hours double, median_hours double"))
+    rows = V.targets_long(spark, sf, CFG).join(splits_frame(spark, sf).where(F.col("split") == "train").select("order_id"), "order_id")
+    return round_doubles(rows.where(F.col("hours") > 0).groupBy("target").agg(
+        F.avg("hours").alias("mean_hours"), F.percentile("hours", F.lit(0.5)).alias("median_hours")))
 
 
 @query("ridge_auto", None, "G")
 def q_ridge_auto(spark, sf):
     """Plain vs winsorised ridge per target, smaller validation MAE wins."""
-    df, _, _ = training_frame(spark, sf)
-    train, val = df.where(F.col("split") == "train"), df.where(F.col("split") == "val")
-    rows = []
-    for t in CFG.targets:
-        tp = train.where(F.col(f"h_{t}") > 0).withColumnRenamed(f"h_{t}", "hours")
-        vp = val.where(F.col(f"h_{t}") > 0).withColumnRenamed(f"h_{t}", "hours")
-        _, choice, mae = LR.ridge_auto(tp, vp, cfg=LCFG)
-        rows.append((t, choice, mae))
-    return round_doubles(spark.createDataFrame(rows, "target string, choice string, val_mae_pos double"))
+    w = Workspace.of(spark, sf)
+    models = w.regressors("ridge", "ridge_wins")
+    maes = LR.val_maes(w.training, models)
+    rows = [(t, *LR.ridge_auto(t, models, maes)[1:]) for t in CFG.targets]
+    return _fit_frame(spark, rows, "target string, choice string, val_mae_pos double")
 
 
 @query("select_best_regressor", None, "G")
 def q_select_best_regressor(spark, sf):
     """G10 (and the G5 dispatch table it produces): ridge vs trees per target."""
-    df, _, _ = training_frame(spark, sf)
-    _, a = train_regressors(df, "ridge")
-    _, b = train_regressors(df, "gbt")
-    u = a.unionByName(b).withColumn("prio", F.when(F.col("model") == "ridge", 0).otherwise(1))
-    best = u.groupBy("target").agg(F.min_by(F.struct("model", "val_mae_pos"),
-                                            F.struct(F.coalesce("val_mae_pos", F.lit(float("inf"))), "prio")).alias("b"))
-    return round_doubles(best.select("target", "b.*"))
+    w = Workspace.of(spark, sf)
+    maes = LR.val_maes(w.training, w.regressors("ridge", "lgbm"))
+    rows = []
+    for t in CFG.targets:
+        best = LR.select_best_regressor({k: maes[t, k] for k in ("ridge", "lgbm")})
+        rows.append((t, best, maes[t, best]))
+    return _fit_frame(spark, rows, "target string, model string, val_mae_pos double")
 
 
-VARIANTS = {  # G8 named variants: learner, winsorise, log1p
-    "baseline": ("ridge", False, False), "A": ("gbt_l1", False, False), "B": ("ridge", True, False),
-    "C": ("ridge", False, True), "A+C": ("gbt_l1", False, True), "A+B+C": ("gbt_l1", True, True),
-}
+@query("train_dispatch", None, "G")
+def q_train_dispatch(spark, sf):
+    """Every target trained by the learner that the dispatch table names for it."""
+    w = Workspace.of(spark, sf)
+    b = w.bundle()
+    maes = LR.val_maes(w.training, {(t, b.reg_kind[t]): b.reg[t] for t in CFG.targets})
+    return _fit_frame(spark, [(t, CFG.best_regressor.get(t, "lgbm"), k, m) for (t, k), m in maes.items()],
+                      "target string, configured string, trained string, val_mae_pos double")
+
+
+#: Variant -> (absolute loss, median fallback, winsorised) for the experiment target; the other targets keep the baseline.
+VARIANTS = {"baseline": (False, False, False), "A_only": (True, False, False), "B_only": (False, True, False),
+            "C_only": (False, False, True), "A+C": (True, False, True), "A+B+C": (True, True, True)}
+
+
+def _variant_learner(l1: bool, wins: bool) -> str:
+    return "lgbm" + ("_l1" if l1 else "") + ("_wins" if wins else "")
 
 
 @query("regression_variant_grid", None, "G")
 def q_regression_variant_grid(spark, sf):
-    """Six named variants for every target, argmin validation MAE per target."""
-    df, _, _ = training_frame(spark, sf)
-
-    def grid(t):
-        train = df.where((F.col("split") == "train") & (F.col(f"h_{t}") > 0)).withColumnRenamed(f"h_{t}", "hours")
-        val = df.where((F.col("split") == "val") & (F.col(f"h_{t}") > 0)).withColumnRenamed(f"h_{t}", "hours")
-        rows = []
-        for i, (name, (kind, wins, log)) in enumerate(VARIANTS.items()):
-            tr = LR.winsorise_label(train, "hours") if wins else train
-            if log:
-                tr = tr.withColumn("hours", F.log1p("hours"))
-            m = LR.fit_regressor(tr, kind, cfg=LCFG)
-            p = LR.predict_value(m, val, "_y")
-            yhat = F.greatest(F.lit(0.0), F.col("_y"))
-            if log:
-                yhat = F.expm1(yhat)
-            mae = p.select(F.avg(F.abs(yhat - F.col("hours")))).first()[0]
-            rows.append((t, name, i, mae))
-        return rows
-    rows = [x for found in LR.fit_per_target(CFG.targets, grid, LCFG.threads).values() for x in found]
-    g = spark.createDataFrame(rows, "target string, variant string, ord int, val_mae_pos double")
-    rank = F.row_number().over(Window.partitionBy("target").orderBy(F.col("val_mae_pos").asc_nulls_last(), "ord"))
-    return round_doubles(g.withColumn("best", rank == 1).drop("ord"))
-
-
-def _bundle_path(spark, name):
-    return f"{checkpoint_dir(spark).rstrip('/')}/bundles/{name}"
-
-
-def build_bundle(spark, sf, clf_kind="lr", reg_kind="ridge") -> tuple[H.Bundle, DataFrame]:
-    df, vocab, inputs = training_frame(spark, sf)
-    clf, th = train_classifiers(df, clf_kind)
-    thr = {row["target"]: row["threshold"] for row in th.collect()}  # one row per target
-    reg, _ = train_regressors(df, reg_kind)
-    b = H.Bundle(CFG.targets, clf, {t: clf_kind for t in CFG.targets}, thr, reg,
-                 {t: reg_kind for t in CFG.targets}, inputs, vocab,
-                 P.make_frequency(V.headers(spark, sf)), {"clf": clf_kind, "reg": reg_kind})
-    return b, df
+    """The six named variants for every target as experiment target, each evaluated end to end on test."""
+    w = Workspace.of(spark, sf)
+    kinds = sorted({_variant_learner(a, c) for a, _, c in VARIANTS.values()})
+    models = w.regressors(*kinds, "mean_fallback", "median_fallback")
+    few = [s["n_pos"] < LCFG.min_pos_for_model for s in w.training.stats()]
+    thr = {x["target"]: x["threshold"] for x in w.thresholds("lr").collect()}  # one row per target
+    keys = list(models)
+    rows = predict(predict(w.training.split("test"), w.classifiers("lr"), "p"), [models[k] for k in keys], "d")
+
+    def hours(t, kind):
+        i = F.lit(CFG.targets.index(t))
+        return F.when(F.get("p", i) >= F.lit(thr[t]), F.greatest(F.lit(0.0), F.get("d", F.lit(keys.index((t, kind)))))).otherwise(F.lit(0.0))
+
+    aggs, order = [], []
+    for e, target in enumerate(CFG.targets):  # the experiment target
+        for name, (a, b, c) in VARIANTS.items():
+            kind = ("median_fallback" if b else "mean_fallback") if few[e] else _variant_learner(a, c)
+            errors = {t: F.abs(hours(t, kind if t == target else "mean_fallback" if few[k] else "lgbm") - F.get("labels", F.lit(k)))
+                      for k, t in enumerate(CFG.targets)}
+            total = F.abs(sum(hours(t, kind if t == target else "mean_fallback" if few[k] else "lgbm") - F.get("labels", F.lit(k))
+                              for k, t in enumerate(CFG.targets)))
+            order.append((target, name))
+            aggs.append(F.struct(F.avg(errors[target]).alias("mae_e2e"), F.avg(sum(errors.values()) / len(CFG.targets)).alias("mean_mae"),
+                                 F.avg(total).alias("total_order_mae")).alias(f"v{len(aggs)}"))
+    found = rows.select(*aggs).first()  # one row
+    grid = spark.createDataFrame([(t, v, k, *found[k]) for k, (t, v) in enumerate(order)],
+                                 "target string, variant string, ord int, mae_e2e double, mean_mae double, total_order_mae double")
+    rank = F.row_number().over(Window.partitionBy("target").orderBy(F.col("mae_e2e").asc_nulls_last(), "ord"))
+    return round_doubles(grid.withColumn("best", rank == 1).drop("ord"))
 
 
 @query("frozen_clf_retrain_reg", None, "G")
 def q_frozen_clf_retrain_reg(spark, sf):
     """Keep the saved classifiers, retrain only the regressors, save a
-    new bundle; A9 round trip included."""
-    b, df = build_bundle(spark, sf)
-    path = _bundle_path(spark, "g7_base")
-    H.save_bundle(b, path)
-    loaded = H.load_bundle(path)
-    reg, maes = train_regressors(df, "gbt_l1")
-    loaded.reg, loaded.reg_kind = reg, {t: "gbt_l1" for t in CFG.targets}
-    H.save_bundle(loaded, _bundle_path(spark, "g7_retrained"))
-    return round_doubles(maes.withColumn("clf_kind", F.lit(b.clf_kind[CFG.targets[0]])))
+    new version of the bundle; A9 round trip included."""
+    w = Workspace.of(spark, sf)
+    root = _folder(spark, "bundle-g7")
+    H.save_bundle(w.bundle(), root)
+    loaded = H.load_bundle(spark, root)
+    models = w.regressors("lgbm_l1")
+    loaded.reg, loaded.reg_kind = {t: models[t, "lgbm_l1"] for t in CFG.targets}, {t: "lgbm_l1" for t in CFG.targets}
+    H.save_bundle(loaded, root)
+    again = H.load_bundle(spark, root)
+    return _maes(w, {(t, again.reg_kind[t]): again.reg[t] for t in CFG.targets}).withColumn("clf_kind", F.lit(again.clf_kind[CFG.targets[0]]))
+
+
+def raw_orders(spark, sf) -> DataFrame:
+    """Raw order documents (order_id, make, positions) of the order view, positions in their order."""
+    item = F.struct(F.col("text"), F.col("total_price").cast("string").alias("totalPrice"), F.col("total_time").cast("string").alias("totalTime"),
+                    F.col("cost_center").alias("genericCostCenter"))
+    lists = V.positions(spark, sf).groupBy("order_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("line_no", "part_key", "supp_key", item.alias("p")))), lambda x: x["p"]).alias("positions"))
+    empty = F.array().cast("array<struct<text:string,totalPrice:string,totalTime:string,genericCostCenter:string>>")
+    return V.headers(spark, sf).select("order_id", "make").join(lists, "order_id", "left").withColumn("positions", F.coalesce("positions", empty))
+
+
+def saved_bundle(spark, sf) -> H.Bundle:
+    """The workspace's bundle, saved once and loaded again."""
+    w = Workspace.of(spark, sf)
+
+    def save():
+        root = _folder(spark, "bundle")
+        H.save_bundle(w.bundle(), root)
+        return root
+    return H.load_bundle(spark, w.once("bundle-root", save))
 
 
 @query("score_orders", None, "H")
 def q_score_orders(spark, sf):
-    """H1: bundle saved, re-loaded and applied to all orders."""
-    b, df = build_bundle(spark, sf)
-    path = _bundle_path(spark, "h1")
-    H.save_bundle(b, path)
-    loaded = H.load_bundle(path)
-    return H.score(df, loaded).select("order_id", "predictions", "active_targets", "total_predicted_hours")
+    """H1: raw orders scored by a bundle that was saved and loaded again."""
+    scored = H.score_raw(raw_orders(spark, sf), saved_bundle(spark, sf), CFG)
+    return scored.select("order_id", "predictions", "active_targets", "total_predicted_hours")
 
 
 @query("format_response", None, "H")
 def q_format_response(spark, sf):
-    """H4: response documents (struct + JSON) for all scored orders."""
-    b, df = build_bundle(spark, sf)
-    feats = features_frame(spark, sf).select("order_id", "make", "total_time", "total_price")
-    npos = V.positions(spark, sf).groupBy("order_id").agg(F.count(F.lit(1)).cast("int").alias("n_positions"))
-    scored = H.score(df, b).join(feats, "order_id").join(npos, "order_id", "left") \
-        .fillna(0, ["n_positions"])
-    return H.format_response(scored, CFG.target_labels)
+    """H4: response documents with explanations (struct + JSON) for all orders."""
+    scored = H.score_raw(raw_orders(spark, sf), saved_bundle(spark, sf), CFG, explain=True)
+    return H.format_response(scored, CFG.targets, CFG.target_labels)
 
 
 @query("linear_top_terms", None, "J")
 def q_linear_top_terms(spark, sf):
     """The five largest positive word coefficients per target."""
-    df, vocab, _ = training_frame(spark, sf)
-    models, _ = train_classifiers(df, "lr")
+    w = Workspace.of(spark, sf)
+    terms = w.word.terms.to_pylist()
     rows = []
-    for t in CFG.targets:
-        coef = models[t].coefficients.toArray()[:WORD_MAX]
-        rows += [(t, int(i), float(c)) for i, c in enumerate(coef) if c > 0]
-    co = spark.createDataFrame(rows, "target string, idx int, coef double")
-    j = co.join(vocab.where(F.col("kind") == "word").select("idx", "term"), "idx")
-    w = Window.partitionBy("target").orderBy(F.desc("coef"), "term")
-    return round_doubles(j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5))
+    for t, m in zip(CFG.targets, w.classifiers("lr")):
+        rows += [(t, i, float(c), terms[i]) for i, c in enumerate(m.weights[:len(terms)]) if c > 0]
+    d = spark.createDataFrame(rows, "target string, idx int, coef double, term string")
+    by = Window.partitionBy("target").orderBy(F.desc("coef"), "term")
+    return round_doubles(d.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= 5))
 
 
 @query("tree_importance", None, "J")
 def q_tree_importance(spark, sf):
-    """The 15 most important numeric features per target (trees)."""
-    df, _, inputs = training_frame(spark, sf)
-    models, _ = train_classifiers(df, "gbt")
-    num = P.feature_columns(CFG)
+    """The 15 most important numeric features per target (number of splits in the trees)."""
+    w = Workspace.of(spark, sf)
+    n = len(w.training.features)
     rows = []
-    for t in CFG.targets:
-        imp = models[t].featureImportances.toArray()[WORD_MAX + CHAR_MAX:]
-        rows += [(t, num[i], float(v)) for i, v in enumerate(imp)]
-    d = spark.createDataFrame(rows, "target string, feature string, importance double")
-    w = Window.partitionBy("target").orderBy(F.desc("importance"), "feature")
-    return round_doubles(d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 15))
+    for t, m in zip(CFG.targets, w.classifiers("lgbm")):
+        rows += [(t, f, int(v)) for f, v in zip(w.features, m.importance(n)[n - len(w.features):])]
+    d = spark.createDataFrame(rows, "target string, feature string, importance long")
+    by = Window.partitionBy("target").orderBy(F.desc("importance"), "feature")
+    return d.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= 15)
 
 
 # ====================================================================== SQL-checked H2/H3/H5/H6

@@ -162,23 +162,51 @@ def q_frozen_vectoriser_transform(spark, sf):
     return round_doubles(D.transform_frozen(docs.where(F.col("split") == "test"), "order_id", word_terms(), fitted))
 
 
-# ---------------------------------------------------------------- D6 / D7 (rows-only)
-@query("assemble_features", None, "D")
+# ---------------------------------------------------------------- D6
+def _assemble_sql():
+    from jobsheet.operators import positions as P
+    num = [f"SELECT order_id, (SELECT count(*) FROM wv) + (SELECT count(*) FROM cv) + {k} AS idx, {c}::DOUBLE AS val FROM feat WHERE {c} <> 0"
+           for k, c in enumerate(P.feature_columns(CFG))]
+    return _docs_sql() + "," + WORD_TERMS + "," + CHAR_TERMS + "," + _vocab_sql("tc", "wv", WORD_MIN_DF, WORD_MAX) + "," + \
+        _vocab_sql("ctc", "cv", CHAR_MIN_DF, CHAR_MAX) + "," + _tfidf_sql("tc", "wv", "SELECT count(*) FROM docs", "tw1") + "," + \
+        _tfidf_sql("ctc", "cv", "SELECT count(*) FROM docs", "tc1") + f""",
+ent AS (SELECT order_id, idx, weight AS val FROM tw1 UNION ALL
+        SELECT order_id, (SELECT count(*) FROM wv) + idx, weight FROM tc1 UNION ALL {" UNION ALL ".join(num)})
+SELECT f.order_id, coalesce(list(CAST(e.idx AS INTEGER) ORDER BY e.idx) FILTER (WHERE e.idx IS NOT NULL), []) AS idx,
+       coalesce(list({r('e.val')} ORDER BY e.idx) FILTER (WHERE e.idx IS NOT NULL), []) AS val
+FROM feat f LEFT JOIN ent e ON f.order_id = e.order_id GROUP BY f.order_id"""
+
+
+@query("assemble_features", _assemble_sql, "D")
 def q_assemble_features(spark, sf):
-    """[word TF-IDF || char TF-IDF || numeric] sparse feature vector."""
+    """[word TF-IDF || char TF-IDF || numeric] as one sparse row per order."""
+    from jobsheet.functions.stats import rnd
     from jobsheet.operators import positions as P
     docs = docs_frame(spark, sf)
-    keys = docs.select("order_id")
-    wf = D.fit_vocab(docs, "order_id", word_terms(), WORD_MIN_DF, WORD_MAX)
-    cf = D.fit_vocab(docs, "order_id", char_terms(), CHAR_MIN_DF, CHAR_MAX)
-    wv = D.sparse_vectors(D.transform_frozen(docs, "order_id", word_terms(), wf), "order_id", WORD_MAX,
-                          "v_word", keys=keys)
-    cv = D.sparse_vectors(D.transform_frozen(docs, "order_id", char_terms(), cf), "order_id", CHAR_MAX,
-                          "v_char", keys=keys)
-    num = P.feature_columns(CFG)
-    feats = features_frame(spark, sf).select("order_id", *[F.col(c).cast("double") for c in num])
-    df = feats.join(wv, "order_id").join(cv, "order_id")
-    return D.assemble(df, ["v_word", "v_char", *num]).select("order_id", "features")
+    word = D.Vocabulary.of(D.fit_vocab(docs, "order_id", word_terms(), WORD_MIN_DF, WORD_MAX))
+    char = D.Vocabulary.of(D.fit_vocab(docs, "order_id", char_terms(), CHAR_MIN_DF, CHAR_MAX))
+    rows = features_frame(spark, sf).withColumn("text", F.col("order_text"))
+    v = D.vectorise(rows, ["order_id"], [(word_terms(), word), (char_terms(), char)], [F.col(c) for c in P.feature_columns(CFG)])
+    return v.select("order_id", "idx", F.transform("val", lambda x: rnd(x, 6)).alias("val"))
+
+
+# ---------------------------------------------------------------- D7
+def _assemble_embedding_sql():
+    return f"""
+SELECT vec_id, list_transform(embedding, lambda x: {r('x::DOUBLE')}) || [{r('sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)))')},
+       {r('list_min(embedding)::DOUBLE')}, {r('list_max(embedding)::DOUBLE')}, {r('list_sum(list_transform(embedding, lambda x: x::DOUBLE)) / len(embedding)')}] AS features,
+       label::DOUBLE AS label_num FROM embeddings"""
+
+
+@query("assemble_embedding_features", _assemble_embedding_sql, "D")
+def q_assemble_embedding_features(spark, sf):
+    """Dense embedding || numeric columns (norm, least, largest and mean component) as one vector."""
+    from jobsheet.functions.stats import rnd
+    x = F.transform("embedding", lambda c: c.cast("double"))
+    mean = F.aggregate(x, F.lit(0.0), lambda a, c: a + c) / F.size(x)
+    num = F.array(D.l2_norm(F.col("embedding")), F.array_min(x), F.array_max(x), mean)
+    return table(spark, sf, "embeddings").select("vec_id", F.transform(F.concat(x, num), lambda c: rnd(c, 6)).alias("features"),
+                                                 F.col("label").cast("double").alias("label_num"))
 
 
 # ---------------------------------------------------------------- D8 / D9
@@ -207,12 +235,3 @@ def q_l2_normalise(spark, sf):
     return round_doubles(d.select("vec_id", F.col("norm").alias("norm_before"),
                                   D.l2_norm(F.col("unit")).alias("norm_after"),
                                   (F.abs(F.col("norm") - 1) <= 1e-4).alias("unit_norm")))
-
-
-@query("assemble_embedding_features", None, "D")
-def q_assemble_embedding_features(spark, sf):
-    """Dense embedding || numeric columns as one vector."""
-    e = table(spark, sf, "embeddings")
-    e = e.select("vec_id", D.array_to_vec(F.col("embedding")).alias("emb"),
-                 D.l2_norm(F.col("embedding")).alias("norm"), F.col("label").cast("double").alias("label_num"))
-    return D.assemble(e, ["emb", "norm"]).select("vec_id", "features", "label_num")

@@ -84,13 +84,3 @@ def test_synthetic_generator_contract(spark):
     again = SY.synthetic_orders(keys.repartition(7))
     flat = lambda x: x.select("order_id", "input", F.map_entries("output").alias("o"))
     assert flat(again).exceptAll(flat(d)).count() == 0
-
-
-def test_bundle_missing_parts_reported(spark, tmp_path):
-    import pytest as _pytest
-    from jobsheet.operators.scoring import load_bundle
-    spark.createDataFrame([("{}",)], "manifest string").write.json(str(tmp_path / "b" / "manifest"))
-    with _pytest.raises(ValueError) as e:
-        load_bundle(str(tmp_path / "b"))
-    msg = str(e.value)
-    assert "clf" in msg and "vocab" in msg and "manifest" not in msg.split("missing:")[1]
