@@ -265,15 +265,19 @@ def raw_orders(spark, sf) -> DataFrame:
     return V.headers(spark, sf).select("order_id", "make").join(lists, "order_id", "left").withColumn("positions", F.coalesce("positions", empty))
 
 
-def saved_bundle(spark, sf) -> H.Bundle:
-    """The workspace's bundle, saved once and loaded again."""
+def bundle_root(spark, sf) -> str:
+    """Where the workspace's bundle is saved (once)."""
     w = Workspace.of(spark, sf)
 
     def save():
         root = _folder(spark, "bundle")
         H.save_bundle(w.bundle(), root)
         return root
-    return H.load_bundle(spark, w.once("bundle-root", save))
+    return w.once("bundle-root", save)
+
+
+def saved_bundle(spark, sf) -> H.Bundle:
+    return H.load_bundle(spark, bundle_root(spark, sf))
 
 
 @query("score_orders", None, "H")

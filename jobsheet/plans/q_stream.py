@@ -5,6 +5,8 @@ every check is "stream result == batch result"."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from jobsheet.config import part_catalog
@@ -41,19 +43,47 @@ def _score_stream_sql():
         " FROM feat WHERE order_id % 101 <> 0 AND order_id % 103 <> 0 AND order_id % 107 <> 0"
 
 
+def order_files(spark, sf) -> str:
+    """The order documents of the view as JSON files, written once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _FILES:
+        path = K.shared_path(spark, "fixtures", f"orders-{uuid.uuid4().hex}")
+        K.order_documents(V.positions(spark, sf), V.headers(spark, sf), V.targets_wide(spark, sf, CFG), CFG.targets) \
+            .repartition(4).write.text(path)
+        _FILES[key] = path
+    return _FILES[key]
+
+
+_FILES: dict[tuple[str, str], str] = {}
+
+
+def order_stream(spark, path: str, files: int = 1):
+    return (spark.readStream.schema(A.ORDER_SCHEMA).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+            .option("maxFilesPerTrigger", files).json(path))
+
+
 @query("score_stream", _score_stream_sql, "H")
 def q_score_stream(spark, sf):
-    """H7: order documents arriving as files are featurised per document
+    """H7 features: order documents arriving as files are featurised per document
     (stateless) and land in a parquet sink; equals the batch features."""
-    path = K.shared_path(spark, "fixtures", "orders_stream_" + sf.rstrip("/").split("/")[-1].replace(".", "_"))
-    K.order_documents(V.positions(spark, sf), V.headers(spark, sf), V.targets_wide(spark, sf, CFG),
-                      CFG.targets).write.mode("overwrite").text(path)
-    docs = (spark.readStream.schema(A.ORDER_SCHEMA).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    out = run_available(SM.score_order_stream(docs, CFG), "score_stream")
+    out = run_available(SM.feature_stream(order_stream(spark, order_files(spark, sf)), CFG), "score_stream")
     return round_doubles(out.select("order_id", *STREAM_FEATURES))
 
 
+@query("score_stream_orders", None, "H")
+def q_score_stream_orders(spark, sf):
+    """H7: order documents arriving as files are scored by the bundle that is current for their micro-batch."""
+    from jobsheet.plans.q_models import Workspace, bundle_root
+    root, base = bundle_root(spark, sf), K.shared_path(spark, "streams", f"scores-{uuid.uuid4().hex}")
+    SM.score_order_stream(order_stream(spark, order_files(spark, sf)), root, f"{base}/out", f"{base}/checkpoint", CFG).awaitTermination()
+    scored = spark.read.parquet(f"{base}/out")
+    targets = Workspace.of(spark, sf).training.targets
+    return scored.select("order_id", F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"), "response", "model_version").select(
+        "order_id", "target", F.col("response.predictions")[F.col("target")]["probability"].alias("probability"),
+        F.col("response.predictions")[F.col("target")]["threshold"].alias("threshold"),
+        F.col("response.predictions")[F.col("target")]["predicted_hours"].alias("predicted_hours"), "model_version")
+
+
 @query("stream_error_rate", lambda: LOG + f"""
 SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n,
        {r("100.0 * avg(CAST(target = 'error' AS DOUBLE))")} AS error_pct,

@@ -160,3 +160,35 @@ def test_nested_row_equals_the_grouped_features(spark):
     bad = [F.count_if(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > 1e-6 * (1 + F.abs(F.col(f"a.{c}")))).alias(c) for c in names]
     bad += [F.count_if(F.col("a.order_text") != F.col("b.order_text")).alias("order_text"), F.count_if(F.col("a.make") != F.col("b.make")).alias("make")]
     assert {k: v for k, v in j.select(*bad).first().asDict().items() if v} == {} and j.count() == flat.count()
+
+
+def documents(tmp, name, orders):
+    (tmp / "in").mkdir(exist_ok=True)
+    lines = [json.dumps({"order_id": i, "input": {"make": m, "calculatedPositions": ps and [dict(zip(("text", "totalPrice", "totalTime", "genericCostCenter"), p)) for p in ps]}})
+             for i, m, ps in orders]
+    (tmp / "in" / name).write_text("\n".join([*lines, '{"order_id": 99, "input": {']))
+
+
+def test_stream_takes_a_new_version_and_replays_batches(spark, tmp_path):
+    from jobsheet.plans.q_stream import order_stream
+    from jobsheet.streaming.monitor import score_order_stream
+    root, out, check = (str(tmp_path / x) for x in ("bundle", "out", "check"))
+    H.save_bundle(bundle(spark, 0.9), root)
+    documents(tmp_path, "a.json", ORDERS[:2])
+
+    def run():
+        score_order_stream(order_stream(spark, str(tmp_path / "in")), root, out, check, CFG, explain=True).awaitTermination()
+        return {r.order_id: r for r in spark.read.parquet(out).collect()}
+    assert {k: r.model_version for k, r in run().items()} == {1: 1, 2: 1}
+    H.save_bundle(bundle(spark, 0.8), root)
+    documents(tmp_path, "b.json", ORDERS[2:])
+    found = run()
+    assert {k: r.model_version for k, r in found.items()} == {1: 1, 2: 1, 3: 2, 5: 2}  # order 4 has no list: A2 drops it
+    for r in found.values():
+        batch = H.score_raw(spark.createDataFrame([o for o in ORDERS if o[0] == r.order_id], RAW), bundle(spark, 0.9 if r.model_version == 1 else 0.8), CFG, explain=True)
+        assert H.format_response(batch, CFG.targets, CFG.target_labels).first().response == r.response  # the stream equals the batch
+    # a batch that runs again after a lost commit replaces what it left
+    commits = sorted((tmp_path / "check" / "commits").glob("[0-9]*"))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    assert len(run()) == 4 and spark.read.parquet(out).count() == 4
