@@ -10,15 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 from jobsheet.session import checkpoint_dir
 
 _RUNS: dict[str, list[str]] = {}
+_COLLECTING: list[list[str]] = []
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared checkpoint folder; no two calls get the same one."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _RUNS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for paths in _COLLECTING:
+        paths.append(path)
     return path
 
 
+@contextlib.contextmanager
+def collecting(paths: list[str]):
+    """Notes in ``paths`` the folders that are made inside, so that their maker can delete them once it is done with them."""
+    _COLLECTING.append(paths)
+    try:
+        yield
+    finally:
+        _COLLECTING.remove(paths)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.  This cuts the
     lineage: a lost executor costs the running tasks, not the finished steps."""

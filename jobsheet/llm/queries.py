@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from jobsheet.llm import oracles
 from jobsheet.sources.tables import table
 
+#: The registered queries' key for surrogates; a user passes a secret one.
+SURROGATE_KEY = "registered query"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -85,7 +87,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from jobsheet.llm.surrogates import replace_personal_data
 
-    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_entities")
+    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY, count_col="n_entities")
 
 
 @query("op8_ngram_jaccard_join", oracles.OP8)

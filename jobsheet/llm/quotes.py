@@ -1,6 +1,6 @@
 """Quotation linking for chats and mail threads, with DataFrame functions only (operator 1).
 
-A line's quote level is the number of ``>`` marks before it.  Adjoining lines of
+A line's quote level is the number of ``>`` marks before it, with or without blanks between them.  Adjoining lines of
 one level are a passage.  Own text is what has level 0, without the
 attribution line ("... wrote:") above a quote.
 
@@ -8,7 +8,7 @@ Passages are normalised (case, white space, punctuation at the ends), hashed, an
 joined to the messages that said them: whole own texts, their paragraphs, or
 single lines; a quoted passage that matches none as a whole is tried by its
 paragraphs, then line by line.  The original of a passage is the first message of the conversation
-that holds it; failing that, for passages of ``MIN_PASSAGE`` characters, the
+that holds it; failing that, for passages of ``min_passage`` characters (0: all), the
 first of any other conversation.  Both are one row per
 hash, combined before the shuffle, so a frequent line joins to one row and
 never to all its copies.  A message cannot quote itself or, in its
@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 
 from jobsheet.llm.common import keep, partitions
 
-_MARKS = r"^[ \t]*(?:>[ \t]?)+"
+_MARKS = r"^[ \t>]*>[ \t]?"  #: marks and blanks up to the last mark; one class, so a line of many marks needs no recursion
 _ATTRIBUTION = r"(?i)^\s*(?:(?:on|am|le|el)\b.*(?:wrote|schrieb|écrit|escribió)|.*(?:wrote|schrieb|a écrit|escribió))\b.*:\s*$"
-MIN_PASSAGE = 8  #: characters a normalised passage needs to be linked to another conversation; shorter ones ("ok") are linked within their own
+BRIEF = 8  #: characters below which a part of a passage ("ok") is the last to decide whom a message answers
 SALTS = 16  #: parts of a frequent passage's conversations, where the second of them is sought
 
 
@@ -67,12 +67,12 @@ def _hash(text: str) -> Column:
     return F.expr(f"IF(char_length({normalised(text)}) > 0, sha2({normalised(text)}, 256), NULL)")
 
 
-def _short(text: str) -> Column:
-    return F.expr(f"char_length({normalised(text)}) < {MIN_PASSAGE}")
-
-
-def _linked(parsed: DataFrame) -> DataFrame:
+def _linked(parsed: DataFrame, min_passage: int) -> DataFrame:
     """One row per message that has a linked quote: conv, turn, h (of the text), p_conv, p_turn."""
+    def _short(text: str) -> Column:
+        length = f"char_length({normalised(text)})"
+        return F.expr(f"struct({length} < {int(min_passage)} AS here_only, {length} < {BRIEF} AS brief)")
+
     quoting = parsed.filter("max_level > 0").select("conv", "turn", F.xxhash64("text").alias("h"), F.posexplode("passages").alias("at", "p"))
     whole = quoting.select("conv", "turn", "h", "at", "p.level", F.lit(0).alias("part"), _hash("p.text").alias("key"), _short("p.text").alias("short"))
     block = quoting.filter("p.text RLIKE '\n[ \t]*\n'").select("conv", "turn", "h", "at", "p.level", F.explode(F.expr("split(p.text, '\n[ \t]*\n')")).alias("t")) \
@@ -90,7 +90,7 @@ def _linked(parsed: DataFrame) -> DataFrame:
     found = quoted.join(here.withColumnRenamed("turn", "here_turn"), ["key", "conv"], "left").join(elsewhere, "key", "left")
     # The first elsewhere may be the own conversation, quoted before it said so; then the next conversation's counts.
     salts = F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt")
-    first = found.filter("conv = o_conv AND here_turn >= turn AND NOT short").select("key", F.col("conv").alias("not_conv")).distinct()
+    first = found.filter("conv = o_conv AND here_turn >= turn AND NOT short.here_only").select("key", F.col("conv").alias("not_conv")).distinct()
     others = here.withColumn("salt", F.expr(f"cast(pmod(xxhash64(conv), {SALTS}) AS int)")).join(first.select("key", "not_conv", salts), ["key", "salt"]) \
         .filter("conv <> not_conv").groupBy("key", "salt").agg(F.min(F.struct("conv", "turn")).alias("o"))
     others = others.groupBy("key").agg(F.min("o").alias("o")).select("key", F.col("o.conv").alias("n_conv"), F.col("o.turn").alias("n_turn"))
@@ -98,11 +98,11 @@ def _linked(parsed: DataFrame) -> DataFrame:
     same = F.coalesce(F.col("conv") == F.col("o_conv"), F.lit(False))
     found = found.withColumns({"o_conv": F.when(same, F.col("n_conv")).otherwise(F.col("o_conv")), "o_turn": F.when(same, F.col("n_turn")).otherwise(F.col("o_turn"))})
     own = F.coalesce(F.col("here_turn") < F.col("turn"), F.lit(False))
-    other = ~own & F.col("o_turn").isNotNull() & ~F.col("short")
+    other = ~own & F.col("o_turn").isNotNull() & ~F.col("short.here_only")
     found = found.withColumns({"p_conv": F.when(own, F.col("conv")).when(other, F.col("o_conv")),
                                "p_turn": F.when(own, F.col("here_turn")).when(other, F.col("o_turn"))}).filter("p_turn IS NOT NULL")
     # Lowest level first, whole passages before paragraphs before lines, short parts last, this conversation before others, its latest turn, then the first elsewhere.
-    rank = F.struct("level", F.when((F.col("part") > 0) & F.col("short"), 3).otherwise(F.col("part")).alias("part"), (F.col("p_conv") != F.col("conv")).alias("away"),
+    rank = F.struct("level", F.when((F.col("part") > 0) & F.col("short.brief"), 3).otherwise(F.col("part")).alias("part"), (F.col("p_conv") != F.col("conv")).alias("away"),
                     F.when(F.col("p_conv") == F.col("conv"), -F.col("p_turn")).otherwise(0).alias("late"), "p_conv", "p_turn")
     return found.groupBy("conv", "turn", "h").agg(F.min(rank).alias("best"), F.countDistinct("at").alias("n_linked")) \
         .select("conv", "turn", "h", "best.p_conv", "best.p_turn", "n_linked")
@@ -120,12 +120,13 @@ def _threads(links: DataFrame) -> DataFrame:
             return jump.withColumnRenamed("up", "root_turn")
 
 
-def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
+         min_passage: int = 0) -> DataFrame:
     """conv, turn, role, text (without quotes), max_level, n_passages, n_linked, parent_conv, parent_turn, root_turn, depth,
     in reply order."""
     spark = messages.sparkSession
     parsed = parse(messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")))
-    links = keep(_linked(parsed), "quote-links")
+    links = keep(_linked(parsed, min_passage), "quote-links")
     rows = parsed.withColumn("h", F.xxhash64("text")).join(links, ["conv", "turn", "h"], "left")
     rows = rows.join(_threads(links), ["conv", "turn"], "left")
     out = rows.select(

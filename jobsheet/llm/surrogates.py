@@ -4,14 +4,14 @@ A text is cut at its entities by one pattern.  An entity is one or more parts,
 each of a kind (mailbox, domain, phone, card, ...), and a part's surrogate is
 a keyed hash of its normalised form, written in the part's own format: digits
 for digits, letters for letters of the same case and script, valid check
-digits, names by gender and script.  So the same part has the same surrogate
+digits (cards, account numbers), names by gender, script, hyphens and capitals.  So the same part has the same surrogate
 in every document, without a join.
 
 Collision checks: over the distinct parts of the corpus, no two of a kind may
 share a surrogate and none may be a part that occurs.  Those that do are hashed
 again with the next attempt number until none is left.  Only parts with a later
 attempt are joined back: their number is counted, and up to ``MAX_BROADCAST`` they
-are broadcast, beyond that joined by hash.
+are broadcast, as are the texts that hold them; beyond that both are joined by hash.
 
 Defined results: a null text stays null, an empty one empty; repeated rows get
 equal surrogates; other columns pass through, whatever their names.
@@ -32,7 +32,7 @@ _NAME = r"\p{Lu}[\p{L}’'-]+"
 _MALE = r"(?:Mr|Herr|Monsieur|Señor|Sr|Господин|Г-н|Κύριος)"
 _FEMALE = r"(?:Mrs|Miss|Ms|Frau|Madame|Mme|Señora|Sra|Госпожа|Г-жа|Κυρία)"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){1,30}+",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]?\d{4}(?!\d)|\+\d{8,14}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -104,14 +104,25 @@ def _byte(s: str, i: str) -> str:
     return f"cast(conv(substr({s}, 2 * (({i}) % 64) + 1, 2), 16, 10) AS int)"
 
 
+#: Letters that stand for letters of their script and case.
+LETTERS = {"IsCyrillic": ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"), "IsGreek": ("αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
+           "L": ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")}
+
+
 def _swap(text: str, s: str, first: str) -> str:
-    """Each digit and ASCII letter of ``text`` after its first ``first`` characters by one of its kind; other letters by case, in Latin."""
-    c = f"substr({text}, i, 1)"
-    return f"""array_join(transform(sequence(1, char_length({text})), i -> CASE
-      WHEN i <= {first} OR char_length({text}) = 0 THEN {c}
-      WHEN {c} RLIKE '[0-9]' THEN cast({_byte(s, 'i')} % 10 AS string)
-      WHEN {c} RLIKE '\\\\p{{Lu}}' THEN char(65 + {_byte(s, 'i')} % 26)
-      WHEN {c} RLIKE '\\\\p{{L}}' THEN char(97 + {_byte(s, 'i')} % 26) ELSE {c} END), '')"""
+    """Each digit and letter of ``text`` after its first ``first`` characters by one of its kind, case and script (Latin for scripts without letters here)."""
+    letters = " ".join(f"""WHEN c RLIKE '\\\\p{{{x}}}' THEN IF(c RLIKE '\\\\p{{Lu}}', substr('{up}', 1 + {_byte(s, 'j + 1')} % {len(up)}, 1),
+      substr('{low}', 1 + {_byte(s, 'j + 1')} % {len(low)}, 1))""" for x, (low, up) in LETTERS.items())
+    return f"""array_join(transform(split({text}, ''), (c, j) -> CASE WHEN j < {first} THEN c
+      WHEN c RLIKE '[0-9]' THEN cast({_byte(s, 'j + 1')} % 10 AS string) {letters} ELSE c END), '')"""
+
+
+def _iban(d: str) -> str:
+    """``d`` with the check digits (third and fourth character) that make it 1 modulo 97, letters counting as 10 to 35."""
+    c = f"substr(concat(substr({d}, 5), substr({d}, 1, 2), '00'), i, 1)"
+    left = f"""aggregate(sequence(1, char_length({d})), 0, (a, i) -> IF({c} RLIKE '[0-9]', (a * 10 + cast(IF({c} RLIKE '[0-9]', {c}, '0') AS int)) % 97,
+      (a * 100 + ascii({c}) - 55) % 97))"""
+    return f"concat(substr({d}, 1, 2), lpad(cast(98 - {left} AS string), 2, '0'), substr({d}, 5))"
 
 
 def _luhn(d: str) -> str:
@@ -124,14 +135,15 @@ def _luhn(d: str) -> str:
 
 def part_surrogate(kind: str, norm: str, attempt: str, key: str) -> str:
     """SQL of a part's surrogate in normal form."""
+    key = key.replace("\\", "\\\\").replace("'", "\\'")
     seed = f"sha2(concat('{key}', '|', {kind}, '|', {norm}, '|', cast({attempt} AS string)), 512)"
     s, n = "s", norm
 
     def name(script: str, ending: str | None) -> str:
         syl = SYLLABLES[script]
-        body = f"array_join(transform(sequence(1, 3 + {attempt}), i -> element_at({_lit(syl)}, 1 + {_byte(s, 'i')} % {len(syl)})), '')"
-        end = f", element_at({_lit(ENDINGS[script][ending])}, 1 + {_byte(s, '0')} % {len(ENDINGS[script][ending])})" if ending else ""
-        return f"initcap(concat({body}{end}))"
+        body = f"array_join(transform(sequence(1, 3 + {attempt}), i -> element_at({_lit(syl)}, 1 + {_byte(s, 'i + 11 * k')} % {len(syl)})), '')"
+        end = f", element_at({_lit(ENDINGS[script][ending])}, 1 + {_byte(s, '11 * k')} % {len(ENDINGS[script][ending])})" if ending else ""
+        return f"array_join(transform(split({n}, '-'), (side, k) -> initcap(concat({body}{end}))), '-')"  # a name for each side of a hyphen
 
     names = " ".join(f"WHEN 'given_{g}_{x}' THEN {name(x, g)}" for x in SYLLABLES for g in "mf") + " " \
         + " ".join(f"WHEN 'family_{x}' THEN {name(x, None)}" for x in SYLLABLES)
@@ -141,15 +153,15 @@ def part_surrogate(kind: str, norm: str, attempt: str, key: str) -> str:
     body = f"""CASE {kind}
       WHEN 'mailbox' THEN concat({_swap(f"substring_index({n}, '@', 1)", s, "0")}, {more})
       WHEN 'domain' THEN concat({_swap(f"regexp_replace({n}, '[.][^.]*$', '')", s, "0")}, {more}, '.', substring_index({n}, '.', -1))
-      WHEN 'ip' THEN concat(IF({attempt} < 4, '10', cast(240 + {_byte(s, '4')} % 15 AS string)), '.', {_byte(s, '1')}, '.', {_byte(s, '2')}, '.', {_byte(s, '3')})
+      WHEN 'ip' THEN concat(CASE WHEN {attempt} < 4 THEN '10' WHEN {attempt} < 8 THEN cast(240 + {_byte(s, '4')} % 15 AS string) ELSE cast(1 + {_byte(s, '4')} % 223 AS string) END, '.', {_byte(s, '1')}, '.', {_byte(s, '2')}, '.', {_byte(s, '3')})
       WHEN 'phone' THEN {_swap(n, s, f"greatest(0, char_length({n}) - 10)")}
-      WHEN 'ssn' THEN concat('9', substr({_swap(n, s, "1")}, 2))
+      WHEN 'ssn' THEN IF({attempt} < 4, concat('9', substr({_swap(n, s, "1")}, 2)), {_swap(n, s, "0")})
       WHEN 'iban' THEN {_swap(n, s, "2")}
       WHEN 'secret' THEN concat(CASE WHEN {n} RLIKE '^[0-9a-f]+$' THEN {hexed} ELSE {_swap(n, s, f"IF({n} LIKE 'AKIA%', 4, 0)")} END, {more})
       {names} ELSE {_swap(n, s, "1")} END"""
     # one hash per part: bound once, used for every character
     made = f"element_at(transform(array({seed}), s -> {body}), 1)"
-    return f"CASE WHEN {kind} = 'card' THEN element_at(transform(array({made}), d -> {_luhn('d')}), 1) ELSE {made} END"
+    return f"""element_at(transform(array({made}), d -> CASE WHEN {kind} = 'card' THEN {_luhn('d')} WHEN {kind} = 'iban' THEN {_iban('d')} ELSE d END), 1)"""
 
 
 def entity_surrogate(e: str, attempts: str | None, key: str) -> str:
@@ -164,7 +176,8 @@ def entity_surrogate(e: str, attempts: str | None, key: str) -> str:
       WHEN parts[0].kind = 'mailbox' THEN concat(r[0], '@', r[1])
       WHEN parts[0].kind IN ('phone', 'card', 'ssn', 'iban') THEN {shaped}
       WHEN parts[0].kind IN ('ip', 'secret') THEN r[0]
-      ELSE concat(substring_index({e}, ' ', 1), ' ', array_join(r, ' ')) END), 1)), 1)"""
+      ELSE concat(substring_index({e}, ' ', 1), ' ', array_join(transform(r, (name, at) -> element_at(transform(array(split({e}, ' ')[at + 1]),
+        word -> IF(word = upper(word) AND char_length(word) > 1, upper(name), name)), 1)), ' ')) END), 1)), 1)"""
 
 
 def entities(text: Column) -> Column:
@@ -208,7 +221,7 @@ def later_attempts(parts: DataFrame, key: str) -> DataFrame:
     raise ValueError("no distinct surrogates are left for some kind of personal data")
 
 
-def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "surrogate-key", count_col: str | None = None) -> DataFrame:
+def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with every entity of the text replaced; columns and their order stay.  ``count_col`` adds the number of
     the text's entities, 0 where it is null."""
     found = found_entities(docs, text_col)
@@ -223,7 +236,9 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
         # texts with a later attempt, by text hash: equal texts need equal maps
         parts = found.select("h", F.explode("e").alias("e")).distinct().select("h", F.explode(F.expr(parts_sql("e"))).alias("p")) \
             .select("h", F.concat_ws("|", "p.kind", "p.norm").alias("part")).distinct()
-        maps = parts.join(named, "part").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("part", "attempt"))).alias("m"))
+        maps = keep(parts.join(named, "part").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("part", "attempt"))).alias("m")), "pii-maps")
+        if (maps.select(F.sum(F.size("m") + 1)).first()[0] or 0) <= MAX_BROADCAST:  # all other texts stay where they are
+            maps = F.broadcast(maps)
         source = source.withColumn("h", F.xxhash64("t")).join(maps, "h", "left") \
             .withColumn("m", F.coalesce("m", F.expr("cast(map() AS map<string,int>)")))
         attempts = "m"

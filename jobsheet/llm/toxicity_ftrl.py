@@ -112,7 +112,7 @@ def _fit(batches):
         for k in rng.permutation(len(rows)).tolist():
             model.learn(*rows[k])
     i, w = model.sparse()
-    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(w)], names=["i", "w"])
+    yield pa.RecordBatch.from_arrays([pa.array([i.astype("<i8").tobytes()]), pa.array([w.astype("<f8").tobytes()])], names=["i", "w"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -125,8 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     joined = F.broadcast(sample).join(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
     examples = keep(joined.select("h", "y", "text").mapInArrow(_featurise, "h long, y int, x binary"), "ftrl-examples")
     # one sequential learner over a sample of bounded size
-    fitted = examples.repartition(1).sortWithinPartitions("h", "y", "x").mapInArrow(_fit, "i long, w double").collect()
-    return np.array([r.i for r in fitted], np.int64), np.array([r.w for r in fitted])
+    fitted = examples.repartition(1).sortWithinPartitions("h", "y", "x").mapInArrow(_fit, "i binary, w binary").collect()  # one row: the non-zero weights
+    return np.frombuffer(b"".join(bytes(r.i) for r in fitted), "<i8"), np.frombuffer(b"".join(bytes(r.w) for r in fitted), "<f8")
 
 
 def _scores(texts, weights: np.ndarray, used: np.ndarray) -> np.ndarray:

@@ -230,7 +230,7 @@ def test_surrogates(spark):
             (2, "Mr. John Smith, Frau Müller, Госпожа Анна Иванова, Mr. Smith; +1 988-555-2485; bo.42@mail8.example.com", "k"), (3, None, None), (4, "", ""), (5, "clean 4.0. text", "")]
     data += [(100 + i, f"{a}@x.yz", "") for i, a in enumerate("abcdefghijklmnopqrstuvwxyz" + "ABC")] + [(200, "aa@x.yz", "")]
     docs = spark.createDataFrame(data, "doc_id long, text string, e string")
-    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(docs).collect()}
+    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(docs, "k'ey").collect()}
     assert got[3] is None and got[4] == "" and got[5] == "clean 4.0. text"
     for private in ("bo.42", "988", "4041894974608795", "42.144.35.254", "Smith", "Müller", "Анна"):
         assert not any(private in (t or "") for t in got.values())
@@ -243,6 +243,37 @@ def test_surrogates(spark):
     assert len({got[i] for i in [*range(100, 126), 200]}) == 27  # more mailboxes than single letters: later attempts
 
 
+def test_surrogates_keep_their_form(spark):
+    data = [(1, "DE89370400440532013000 GB29 NWBK 6016 1331 9268 19"), (2, "Mr ANNA SMITH-JONES met Господин Иван-Петр Волков"), (3, "Ольга@почта.рф"),
+            (4, "x@" + "a." * 20_000), (5, "password=" + "x" * 30_000)]
+    got = {r.doc_id: r.text for r in surrogates.replace_personal_data(spark.createDataFrame(data, "doc_id long, text string"), "key").collect()}
+
+    def mod97(iban):
+        return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+    assert mod97(got[1][:22]) == 1 and mod97(got[1][23:].replace(" ", "")) == 1 and got[1].startswith("DE") and got[1][23:].startswith("GB")
+    latin, cyrillic = got[2].split(" met ")
+    assert latin.split()[1:] == latin.upper().split()[1:] and latin.count("-") == 1 and cyrillic.split()[1].count("-") == 1
+    assert not any("a" <= c.lower() <= "z" for c in cyrillic + got[3]) and got[3].endswith(".рф") and "Ольга" not in got[3]
+    assert len(got[4]) == len(data[3][1]) and len(got[5]) == len(data[4][1]) and "xxx" not in got[5]
+
+
+def test_quotes_of_very_many_marks(spark):
+    data = [(1, 0, "u", "hello there"), (1, 1, "a", ">" * 30_000 + " deep"), (1, 2, "a", "> >  > hello there\nfine")]
+    got = {r.turn: r for r in quotes.link(spark.createDataFrame(data, "conv_id long, turn int, role string, text string")).collect()}
+    assert got[1].max_level == 30_000 and got[1].text == "" and (got[2].max_level, got[2].parent_turn, got[2].text) == (3, 0, "fine")
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    rng = random.Random(3)
+    a, b = prose(rng, 80), prose(rng, 80)
+    rows = [(1, a, 7, 8, 9), (2, a + " x", 7, 8, 9), (3, b, 7, 8, 9), (3, b, 7, 8, 9), (4, None, 7, 8, 9), (None, "", 7, 8, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __own int, __id int, h int")
+    got = jaccard_join.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r["__own"], r["__id"], r.h) for r in got.collect()) == [(0, 7, 8, 9), (1, 7, 8, 9), (3, 7, 8, 9), (4, 7, 8, 9)]
+    assert jaccard_join.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_quotes(spark):
     data = [(1, 0, "u", "Hello there everyone.\nThe second line is here."), (1, 1, "a", "On Monday X wrote:\n> Hello there   everyone.\n> The second line is here\nMy answer is long."),
             (1, 2, "u", "> > hello there everyone\n> My answer is long.\nThanks a lot, friend"), (1, 3, "u", "> The second line is here.\n\nok then"),
@@ -260,8 +291,8 @@ def parents(spark, data):
 
 def test_short_quotes(spark):
     data = [(1, 0, "u", "42?"), (1, 1, "a", "Yes."), (1, 2, "u", "> Yes.\nfine by me then"), (1, 3, "a", "> 42?\nof course it is"), (1, 4, "u", "今日は雨。"), (1, 5, "a", "> 今日は雨。\nbring an umbrella"),
-            (2, 0, "u", "> Yes.\nhas no original here"), (3, 0, "u", "The long line of text."), (3, 1, "a", "ok"), (3, 2, "u", "> The long line of text.\n> ok\n> and one more\nreply")]
-    assert parents(spark, data) == {(1, 2): (1, 1), (1, 3): (1, 0), (1, 5): (1, 4), (2, 0): (None, None), (3, 2): (3, 0)}
+            (2, 0, "u", "> Yes.\nhas its original elsewhere"), (3, 0, "u", "The long line of text."), (3, 1, "a", "ok"), (3, 2, "u", "> The long line of text.\n> ok\n> and one more\nreply")]
+    assert parents(spark, data) == {(1, 2): (1, 1), (1, 3): (1, 0), (1, 5): (1, 4), (2, 0): (1, 1), (3, 2): (3, 0)}
 
 
 def test_quotes_from_elsewhere(spark):
