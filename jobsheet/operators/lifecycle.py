@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsheet.sources.versions import VersionStore
+
 # FIXED VALUES - the keys a metrics record must have.
 REQUIRED_KEYS = ("macro_f1", "fw_f1", "fw_mae_hrs", "macro_mae_hrs")
 
@@ -97,21 +99,46 @@ def promotion_decision(rule_results: DataFrame, dry_run: bool = False) -> DataFr
                     rules.scalar().alias("rules"))
 
 
-def archive_and_promote(challenger_metrics: DataFrame, champion_metrics: DataFrame, base: str,
-                        version: str, trained_on: str, stamp: str, promote: bool) -> DataFrame:
-    """Append the outgoing champion to the archive table (named
-    champion_v{ver}_{trained}_{ts}) and overwrite the one-row pointer table
-    atomically (a single small write).  Nothing is written unless promoted."""
-    spark = challenger_metrics.sparkSession
-    if promote:
-        name = f"champion_v{version}_{trained_on}_{stamp}"
-        champion_metrics.withColumn("archive_name", F.lit(name)).write.mode("append").parquet(f"{base}/archive")
-        challenger_metrics.withColumn("promoted_at", F.lit(stamp)).coalesce(1) \
-            .write.mode("overwrite").parquet(f"{base}/champion")
-    try:
-        return spark.read.parquet(f"{base}/champion")
-    except Exception:
-        return challenger_metrics.limit(0).withColumn("promoted_at", F.lit(None).cast("string"))
+class ChampionSlot:
+    """The champion and its archive as versions of one store.
+
+    A promotion writes the challenger's record into a new folder and then moves the pointer, which names
+    the new champion and archives the old one in a single step: a crash before it leaves the champion as it
+    was (and a folder that :meth:`recover` removes), a crash after it leaves nothing to do."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.store = spark, VersionStore(spark, root)
+
+    def champion(self) -> DataFrame | None:
+        now = self.store.current()
+        return None if now is None else self.spark.read.parquet(now["folder"])
+
+    def archive(self) -> list[dict]:
+        """The former champions, oldest first, with their slot names."""
+        found = self.store.entries()
+        return [old | {"slot": new["archived"]} for old, new in zip(found, found[1:])]
+
+    def promote(self, metrics: DataFrame, info: dict, stamp: str) -> int:
+        """Make ``metrics`` (one record) the champion; fails if another promotion came between."""
+        now = self.store.current()
+        folder = self.store.new_folder()
+        metrics.write.parquet(folder)
+        slot = None
+        if now is not None:
+            version = str(now.get("model_version", "unknown")).replace("/", "-")
+            slot = f"champion_v{version}_{str(now.get('trained_on', 'unknown')).replace('-', '')}_{stamp}"
+        return self.store.publish(folder, expected=now["number"] if now else 0, archived=slot, promoted_at=stamp, **info)
+
+    def decide(self, rules: DataFrame, metrics: DataFrame, info: dict, stamp: str, dry_run: bool = False) -> str:
+        """The decision (L4), carried out unless it is a rejection or a dry run."""
+        decision = promotion_decision(rules, dry_run).first()["decision"]
+        if decision == "PROMOTED":
+            self.promote(metrics, info, stamp)
+        return decision
+
+    def recover(self) -> int:
+        """Remove the folders of promotions that never moved the pointer; call it where no promotion is running."""
+        return self.store.sweep()
 
 
 def model_info_or_stub(models: DataFrame, info: DataFrame) -> DataFrame:

@@ -77,23 +77,28 @@ def class_weights(train_long: DataFrame, group: Sequence[str] = ("target",), y:
     return g.withColumn("w_pos", F.greatest(F.lit(1.0), F.col("n_neg") / (F.col("n_pos") + F.lit(eps))))
 
 
+DRAW_CHUNK = 100_000
+
+
 def random_oversample(train_long: DataFrame, target_n: int = 200, seed: int = 42,
                       key: str = "order_id", y: str = "y") -> DataFrame:
     """For targets with 0 < n+ < target_n, add drawn copies of positives
-    until there are exactly target_n.  Draw j picks positive
-    ``(j * 7919 + seed) % n+`` of the md5-ranked positives - deterministic
-    and portable.  Only targets with < target_n positives are ranked, so the
-    window is bounded by target_n rows per target.
-    """
+    until there are exactly target_n.  Draw j takes the positive whose rank (by md5 of the key) is a
+    hash of (seed, target, j) modulo n+: with replacement, repeatable, portable.
+
+    The ranks are exact over all tasks (:func:`exact_rank`), the draws are made in chunks and both are dealt by
+    (target, rank), so neither positives nor draws of one target meet in one task."""
     pos = train_long.where(F.col(y) == 1)
-    cnt = pos.groupBy("target").agg(F.count(F.lit(1)).alias("n_pos"))
-    small = cnt.where((F.col("n_pos") > 0) & (F.col("n_pos") < target_n))
-    ranked = pos.join(small, "target").withColumn(
-        "idx", F.row_number().over(Window.partitionBy("target").orderBy(order_key(key))) - 1)
-    draws = small.select("target", "n_pos", F.explode(F.sequence(F.lit(0), F.lit(target_n) - F.col("n_pos") - 1))
-                         .alias("j")).withColumn("idx", (F.col("j") * 7919 + seed) % F.col("n_pos"))
-    extra = draws.join(ranked.drop("n_pos"), ["target", "idx"]).withColumn("copy", F.col("j") + 1) \
-        .drop("j", "idx", "n_pos")
+    small = pos.groupBy("target").agg(F.count(F.lit(1)).alias("n_pos")).where(F.col("n_pos") < target_n)
+    ranked = exact_rank(pos.join(small, "target"), ["target"], order_key(key)).withColumnRenamed("_rank", "idx").drop("_n", "n_pos")
+    need = F.lit(target_n) - F.col("n_pos")
+    chunks = small.select("target", "n_pos", F.explode(F.sequence(F.lit(0), ((need - 1) / DRAW_CHUNK).cast("long"))).alias("_c")) \
+        .repartition("target", "_c")
+    last = F.least(need, (F.col("_c") + 1) * DRAW_CHUNK) - 1
+    draws = chunks.select("target", "n_pos", F.explode(F.sequence(F.col("_c") * DRAW_CHUNK, last)).alias("j"))
+    hashed = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "target", F.col("j").cast("string"))), 1, 12), 16, 10).cast("long")
+    draws = draws.select("target", (hashed % F.col("n_pos")).alias("idx"), "j")
+    extra = draws.join(ranked, ["target", "idx"]).withColumn("copy", F.col("j") + 1).drop("j", "idx")
     base = train_long.withColumn("copy", F.lit(0).cast("long"))
     return base.unionByName(extra.select(*base.columns))
 

@@ -213,22 +213,23 @@ def q_class_weight(spark, sf):
     return round_doubles(E.class_weights(_train_long(spark, sf)))
 
 
-@query("random_oversample", lambda: eval_with(scores_sql(), TRAIN_LONG) + """
+OVERSAMPLE_TO = 20_000  # above the positives of every target at sf0.01 and sf0.1, so that rows are added
+
+
+@query("random_oversample", lambda: eval_with(scores_sql(), TRAIN_LONG) + f"""
 , cnt AS (SELECT target, count(*) AS n_pos FROM trl WHERE y = 1 GROUP BY target),
-small AS (SELECT * FROM cnt WHERE n_pos > 0 AND n_pos < 200),
-ranked AS (SELECT t.order_id, t.target, row_number() OVER (PARTITION BY t.target ORDER BY md5(CAST(t.order_id AS VARCHAR))) - 1 AS idx
+small AS (SELECT * FROM cnt WHERE n_pos > 0 AND n_pos < {OVERSAMPLE_TO}),
+ranked AS (SELECT t.order_id, t.target, t.hours, row_number() OVER (PARTITION BY t.target ORDER BY md5(CAST(t.order_id AS VARCHAR))) - 1 AS idx
            FROM trl t JOIN small s ON t.target = s.target WHERE t.y = 1),
-draws AS (SELECT s.target, j, (j * 7919 + 42) % s.n_pos AS idx FROM small s, range(0, 200) r(j) WHERE j < 200 - s.n_pos),
-allrows AS (SELECT order_id, target, y, hours, 0 AS copy FROM trl UNION ALL
-            SELECT rk.order_id, d.target, 1, t.hours, d.j + 1 FROM draws d JOIN ranked rk ON d.target = rk.target AND d.idx = rk.idx
-            JOIN trl t ON t.order_id = rk.order_id AND t.target = rk.target)
-SELECT target, count(*) AS n_rows, CAST(count_if(y = 1) AS BIGINT) AS n_pos, CAST(count_if(copy > 0) AS BIGINT) AS n_added
-FROM allrows GROUP BY target""", "E")
+draws AS (SELECT s.target, j, ('0x' || left(md5('42|' || s.target || '|' || j), 12))::BIGINT % s.n_pos AS idx
+          FROM small s, range(0, {OVERSAMPLE_TO}) r(j) WHERE j < {OVERSAMPLE_TO} - s.n_pos),
+added AS (SELECT rk.target, rk.order_id, count(*) AS copies FROM draws d JOIN ranked rk ON d.target = rk.target AND d.idx = rk.idx GROUP BY ALL)
+SELECT t.target, t.order_id, t.y, CAST(1 + coalesce(a.copies, 0) AS BIGINT) AS n_rows
+FROM trl t LEFT JOIN added a ON a.target = t.target AND a.order_id = t.order_id AND t.y = 1""", "E")
 def q_random_oversample(spark, sf):
-    """Positives topped up to 200 per target (train only)."""
-    o = E.random_oversample(_train_long(spark, sf))
-    return o.groupBy("target").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y") == 1).alias("n_pos"),
-                                   F.count_if(F.col("copy") > 0).alias("n_added"))
+    """Positives topped up to an exact number per target (train only): how often each row is in the result."""
+    o = E.random_oversample(_train_long(spark, sf), OVERSAMPLE_TO)
+    return o.groupBy("target", "order_id", "y").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("positive_subset", lambda: eval_with(scores_sql(), TRAIN_LONG) + f"""
@@ -329,12 +330,11 @@ def q_average_precision(spark, sf):
 
 
 @query("pr_curve", lambda: eval_with(scores_sql(), "\nval AS (SELECT * FROM sc WHERE split = 'val')", PR) + f"""
-SELECT target, {r('threshold')} AS threshold, {r('precision')} AS precision, {r('recall')} AS recall
-FROM prp WHERE model = 'ens'""", "F")
+SELECT model, target, {r('threshold')} AS threshold, {r('precision')} AS precision, {r('recall')} AS recall FROM prp""", "F")
 def q_pr_curve(spark, sf):
-    """precision-recall points of the ensemble per target."""
-    val = scores_long(spark, sf).where((F.col("split") == "val") & (F.col("model") == "ens"))
-    return round_doubles(TH.pr_points(val, ["target"]))
+    """precision-recall points per model and target."""
+    val = scores_long(spark, sf).where(F.col("split") == "val")
+    return round_doubles(TH.pr_points(val, ["model", "target"]))
 
 
 @query("select_best_classifier", lambda: full_eval_with() + f"""

@@ -4,6 +4,8 @@ thresholds, evaluated on the test split."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from jobsheet.config import part_catalog
@@ -150,27 +152,58 @@ def q_model_info_or_stub(spark, sf):
     return L.model_info_or_stub(models, info)
 
 
-@query("load_metrics_checked", None, "L")
+@query("load_metrics_checked", lambda: full_eval_with(MM) + f"""
+SELECT 'ok' AS "case", 'OK' AS status, CAST([] AS VARCHAR[]) AS missing, count(*) AS n_records FROM mm WHERE model = {q(CHALLENGER)} UNION ALL
+SELECT 'keys', 'MISSING_KEYS', ['macro_f1', 'fw_mae_hrs'], count(*) FROM mm WHERE model = {q(CHALLENGER)} UNION ALL
+SELECT 'missing', 'MISSING_FILE', NULL, 0 UNION ALL SELECT 'malformed', 'MALFORMED', NULL, 0""", "L")
 def q_load_metrics_checked(spark, sf):
-    """L1: a good metrics table, a missing path and an unparsable file."""
-    base = K.shared_path(spark, "lifecycle", sf.rstrip("/").split("/")[-1].replace(".", "_"))
-    good = f"{base}/metrics_ok"
-    model_metrics(spark, sf).where(F.col("model") == CHALLENGER).write.mode("overwrite").json(good)
-    bad = f"{base}/metrics_bad"
-    spark.createDataFrame([("NOT JSON !!!",)], "value string").write.mode("overwrite").text(bad)
-    parts = [L.load_metrics_checked(spark, good).withColumn("case", F.lit("ok")),
-             L.load_metrics_checked(spark, f"{base}/metrics_missing").withColumn("case", F.lit("missing")),
-             L.load_metrics_checked(spark, bad).withColumn("case", F.lit("malformed"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-@query("archive_and_promote", None, "L")
+    """L1: a good metrics table, one without two keys, a missing path and an unparsable file."""
+    base = K.shared_path(spark, "lifecycle", uuid.uuid4().hex)
+    record = model_metrics(spark, sf).where(F.col("model") == CHALLENGER)
+    record.write.json(f"{base}/ok")
+    spark.read.json(f"{base}/ok").drop("macro_f1", "fw_mae_hrs").write.json(f"{base}/keys")
+    spark.createDataFrame([("NOT JSON !!!",)], "value string").write.text(f"{base}/malformed")
+    out = None
+    for case in ("ok", "keys", "missing", "malformed"):
+        part = L.load_metrics_checked(spark, f"{base}/{case}").withColumn("case", F.lit(case))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+#: The candidates in order; the first becomes champion, the second is only tried.
+CANDIDATES = (("lr", False), ("ens", True), ("ens", False), ("gbt", False), ("lr", False))
+
+
+def _promote_sql():
+    steps = ["s0 AS (SELECT 'lr' AS champion, 0 AS archived)"]
+    rows = []
+    for k, (model, dry) in enumerate(CANDIDATES[1:], 1):
+        won = f"(SELECT passed FROM duel WHERE c = s{k - 1}.champion AND h = {q(model)})"
+        say = f"CASE WHEN {won} THEN 'PROMOTED' ELSE 'REJECTED' END"
+        steps.append(f"s{k} AS (SELECT CASE WHEN {won} AND {not dry} THEN {q(model)} ELSE champion END AS champion, "
+                     f"archived + CAST({won} AND {not dry} AS INTEGER) AS archived, champion AS before, {say} AS said FROM s{k - 1})")
+        rows.append(f"SELECT {k} AS step, {q(model)} AS candidate, before AS champion_before, {repr('DRY RUN - would be ')} || said AS decision, "
+                    f"champion AS champion_after, archived AS n_archived FROM s{k}" if dry else
+                    f"SELECT {k} AS step, {q(model)} AS candidate, before AS champion_before, said AS decision, "
+                    f"champion AS champion_after, archived AS n_archived FROM s{k}")
+    return full_eval_with(MM) + """
+, duel AS (SELECT c.model AS c, h.model AS h, h.fw_f1 >= c.fw_f1 - 0.005::DOUBLE AND h.fw_mae_hrs <= c.fw_mae_hrs * 1.05::DOUBLE
+                  AND h.macro_f1 >= c.macro_f1 - 0.010::DOUBLE AS passed FROM mm c, mm h),
+""" + ",\n".join(steps) + "\n" + " UNION ALL ".join(rows)
+
+
+@query("archive_and_promote", _promote_sql, "L")
 def q_archive_and_promote(spark, sf):
-    """Archive the outgoing champion, move the pointer (when promoted)."""
-    import datetime as dt
-    mm = model_metrics(spark, sf)
-    decision = L.promotion_decision(_rules(spark, sf)).select("decision").first()[0]
-    base = K.shared_path(spark, "lifecycle", sf.rstrip("/").split("/")[-1].replace(".", "_"))
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    return L.archive_and_promote(mm.where(F.col("model") == CHALLENGER), mm.where(F.col("model") == CHAMPION),
-                                 base, "2", "train", stamp, promote=(decision == "PROMOTED"))
+    """A dry run, rejections and promotions one after another against the champion of the moment."""
+    mm = model_metrics(spark, sf).checkpoint()  # one row per model
+    slot = L.ChampionSlot(spark, K.shared_path(spark, "champion", uuid.uuid4().hex))
+    rules, rows = L.rules_table(spark), []
+    for k, (model, dry) in enumerate(CANDIDATES):
+        record, info = mm.where(F.col("model") == model), {"model_version": f"{k}", "trained_on": "2001-01-01"}
+        if not k:
+            slot.promote(record, info, "t0")
+            continue
+        before = slot.champion().first()["model"]
+        decision = slot.decide(L.promotion_rules(mm, before, model, rules), record, info, f"t{k}", dry)
+        rows.append((k, model, before, decision, slot.champion().first()["model"], len(slot.archive())))
+    return spark.createDataFrame(rows, "step int, candidate string, champion_before string, decision string, champion_after string, n_archived int")

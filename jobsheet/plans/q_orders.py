@@ -225,12 +225,11 @@ def q_align_features(spark, sf):
 def _sql_clip():
     return S.with_(S.POS_RAW) + """
 SELECT order_id, line_no, part_key, supp_key, greatest(0.0, total_price) AS clipped_price
-FROM pos_raw WHERE total_price < 0"""
+FROM pos_raw"""
 
 
 @query("clip_nonnegative", _sql_clip, "B")
 def q_clip_nonnegative(spark, sf):
-    """max(0, x) on the negative raw prices."""
-    p = V.positions(spark, sf).where(F.col("total_price") < 0)
-    return p.select("order_id", "line_no", "part_key", "supp_key",
-                    L.clip_nonnegative(F.col("total_price")).alias("clipped_price"))
+    """max(0, x) on the raw prices."""
+    return V.positions(spark, sf).select("order_id", "line_no", "part_key", "supp_key",
+                                         L.clip_nonnegative(F.col("total_price")).alias("clipped_price"))

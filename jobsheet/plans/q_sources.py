@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from jobsheet.config import part_catalog
@@ -28,11 +30,8 @@ def _sfname(sf: str) -> str:
 def orders_json(spark, sf):
     """Write the order documents once per call under the shared folder and
     read them back with the explicit schema."""
-    path = K.shared_path(spark, "fixtures", f"orders_json_{_sfname(sf)}")
-    docs = K.order_documents(V.positions(spark, sf), V.headers(spark, sf), V.targets_wide(spark, sf, CFG),
-                             CFG.targets)
-    docs.write.mode("overwrite").text(path)
-    return A.read_orders(spark, path)
+    from jobsheet.plans.q_stream import order_files
+    return A.read_orders(spark, order_files(spark, sf))
 
 
 NP = """
@@ -46,7 +45,7 @@ SELECT order_id, make, CAST(CASE WHEN order_id % 103 = 0 THEN NULL ELSE n END AS
 FROM docs WHERE order_id % 107 <> 0""", "A")
 def q_scan_orders_json(spark, sf):
     """A1: JSON order documents read schema-first (corrupt lines set aside)."""
-    o = orders_json(spark, sf).where(F.col("_corrupt_record").isNull())
+    o = orders_json(spark, sf).where(F.col("valid"))
     lst, out = F.col("input.calculatedPositions"), F.col("output")
     return o.select("order_id", F.col("input.make").alias("make"),
                     F.when(lst.isNull(), F.lit(None)).otherwise(F.size(lst)).alias("n_positions"),
@@ -130,6 +129,15 @@ def q_sample_records(spark, sf):
     return o.orderBy(F.md5(F.concat(F.col("order_id").cast("string"), F.lit("42")))).limit(30)
 
 
+@query("lookup_record", lambda: """
+WITH o AS (SELECT o_orderkey AS order_id, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders)
+SELECT i.index, o.pos AS position, o.order_id FROM (VALUES (0), (7), (1000003), (-1)) i(index) JOIN o ON o.pos = ((i.index % o.n) + o.n) % o.n""", "A")
+def q_lookup_record(spark, sf):
+    """The record at ``index % N`` in key order, for any index."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"))
+    return A.records_at(o, "order_id", [0, 7, 1000003, -1])
+
+
 def _wrap_sql(name: str, extra: str = "") -> str:
     from jobsheet.plans.registry import REGISTRY
     return f"SELECT *{extra} FROM ({REGISTRY[name].sql()})"
@@ -144,6 +152,18 @@ def q_write_metrics(spark, sf):
     return m.where((F.col("slot") == "challenger") & (F.col("model_version") == "v2"))
 
 
+@query("write_model_info", lambda: f"""
+SELECT 'model_info' AS artifact, 'v2' AS model_version, {len(CFG.targets)}::BIGINT AS n_targets, strftime(max(o_orderdate), '%Y-%m-%d') AS trained_on,
+       [{', '.join(S.q(t) for t in CFG.targets)}] AS targets,
+       ['tfidf_word_ngrams', 'tfidf_char_ngrams', 'numeric_aggregates', 'keyword_flags', 'make_encoding'] AS feature_groups FROM orders""", "A")
+def q_write_model_info(spark, sf):
+    """A10: the model info record written beside a bundle and read back."""
+    path = K.shared_path(spark, "model-info", uuid.uuid4().hex)
+    trained = table(spark, sf, "orders").select(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd")).first()[0]
+    K.write_model_info(spark, path, CFG.targets, "v2", trained)
+    return spark.read.json(path).select("artifact", "model_version", "n_targets", "trained_on", "targets", "feature_groups")
+
+
 @query("read_embeddings", lambda: """
 SELECT (SELECT count(*) FROM embeddings) AS n_embeddings,
        (SELECT count(*) FROM embeddings e JOIN orders o ON e.vec_id = o.o_orderkey) AS n_matched,

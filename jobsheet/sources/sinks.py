@@ -24,6 +24,19 @@ def write_metrics(metrics: DataFrame, path: str, slot: str, model_version: str,
        .partitionBy("slot", "model_version").format(fmt).save(path))
 
 
+# FIXED VALUES - what a model info record calls the feature groups.
+FEATURE_GROUPS = ("tfidf_word_ngrams", "tfidf_char_ngrams", "numeric_aggregates", "keyword_flags", "make_encoding")
+
+
+def write_model_info(spark: SparkSession, path: str, targets: Sequence[str], model_version: str = "unknown", trained_on: str = "unknown",
+                     stage1: str = "boosted trees or logistic regression per target, F1-tuned thresholds",
+                     stage2: str = "per-target regressor by the dispatch table") -> None:
+    """A10: one JSON record that describes a bundle without loading it."""
+    row = ("model_info", model_version, trained_on, len(targets), list(targets), stage1, stage2, list(FEATURE_GROUPS))
+    spark.createDataFrame([row], "artifact string, model_version string, trained_on string, n_targets long, targets array<string>, "
+                                 "stage1 string, stage2 string, feature_groups array<string>").write.mode("overwrite").json(path)
+
+
 def read_metrics(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

@@ -75,3 +75,71 @@ def test_load_metrics_checked(spark, tmp_path):
     assert L.load_metrics_checked(spark, bad).first()["status"] == "MALFORMED"
     r = L.load_metrics_checked(spark, part).first()
     assert r["status"] == "MISSING_KEYS" and "macro_f1" in r["missing"]
+
+
+def test_corrupt_lines_can_be_counted(spark, tmp_path):
+    from jobsheet.sources import json_orders as J
+    (tmp_path / "o.json").write_text('{"order_id": 1, "input": {"make": "A", "calculatedPositions": []}, "output": {}}\n\n{"order_id": 2, "input": {\n')
+    o = J.read_orders(spark, str(tmp_path / "o.json"))
+    assert o.count() == 2 and o.where("valid").count() == 1 and o.where("NOT valid").count() == 1
+    assert J.filter_valid(o).count() == 1
+
+
+def test_records_by_index(spark):
+    from jobsheet.sources import json_orders as J
+    df = spark.createDataFrame([(k * 3,) for k in range(11)], "k long").repartition(4)
+    assert sorted(map(tuple, J.records_at(df, "k", [0, 10, 11, -1, 25]).collect())) == [(-1, 10, 30), (0, 0, 0), (10, 10, 30), (11, 0, 0), (25, 3, 9)]
+    assert J.records_at(df.limit(0), "k", [1]).collect() == []
+
+
+@pytest.fixture
+def slot(spark, tmp_path):
+    return L.ChampionSlot(spark, str(tmp_path / "slot"))
+
+
+def record(spark, name, **change):
+    return spark.createDataFrame([(name, *(CHAMP | change).values())], ["model", *CHAMP])
+
+
+def rules(spark, change):
+    m = record(spark, "champ").unionByName(record(spark, "chall", **change))
+    return L.promotion_rules(m, "champ", "chall", L.rules_table(spark))
+
+
+def test_promotion_archives_and_rejection_and_dry_run_change_nothing(spark, slot, tmp_path):
+    slot.promote(record(spark, "champ"), {"model_version": "1/a", "trained_on": "2026-03-01"}, "t0")
+    better = {"fw_f1": .940, "macro_f1": .840}
+    files = sorted(p.relative_to(tmp_path) for p in tmp_path.rglob("*"))
+    assert slot.decide(rules(spark, better), record(spark, "chall"), {}, "t1", dry_run=True) == "DRY RUN - would be PROMOTED"
+    assert slot.decide(rules(spark, {"fw_f1": .5}), record(spark, "chall"), {}, "t1") == "REJECTED"
+    assert files == sorted(p.relative_to(tmp_path) for p in tmp_path.rglob("*")) and slot.archive() == []
+    assert slot.decide(rules(spark, better), record(spark, "chall"), {"model_version": "2", "trained_on": "2026-04-01"}, "t2") == "PROMOTED"
+    assert slot.champion().first()["model"] == "chall"
+    old = slot.archive()
+    assert [x["slot"] for x in old] == ["champion_v1-a_20260301_t2"] and spark.read.parquet(old[0]["folder"]).first()["model"] == "champ"
+
+
+def test_promotion_survives_a_crash(spark, slot):
+    slot.promote(record(spark, "champ"), {}, "t0")
+    publish, slot.store.publish = slot.store.publish, None  # dies between writing and moving the pointer
+    with pytest.raises(TypeError):
+        slot.promote(record(spark, "chall"), {}, "t1")
+    slot.store.publish = publish
+    assert slot.champion().first()["model"] == "champ" and slot.recover() == 1 and slot.recover() == 0
+    assert slot.champion().first()["model"] == "champ"
+    slot.promote(record(spark, "chall"), {}, "t2")
+    assert slot.champion().first()["model"] == "chall" and len(slot.archive()) == 1
+
+
+def test_two_promotions_at_once(spark, slot):
+    slot.promote(record(spark, "champ"), {}, "t0")
+    publish = slot.store.publish
+
+    def late(*a, **k):  # another promotion comes first
+        slot.store.publish = publish
+        slot.promote(record(spark, "other"), {}, "t1")
+        return publish(*a, **k)
+    slot.store.publish = late
+    with pytest.raises(RuntimeError):
+        slot.promote(record(spark, "chall"), {}, "t1")
+    assert slot.champion().first()["model"] == "other"
