@@ -199,16 +199,18 @@ def explanation_snippets(pos: DataFrame, active: DataFrame, cfg: OrderConfig,
     partial group limit before the shuffle; only <= k rows are collected.
     """
     txt = C.clean_text(F.col("text"))
+    patterns = list(dict.fromkeys(cfg.keyword_flags[kw] for kws in cfg.target_keywords.values() for kw in kws))  # each is searched once
+    found = F.array(*[search(F.col("_t"), p) for p in patterns])
+    wanted = {t: [patterns.index(cfg.keyword_flags[kw]) for kw in kws] for t, kws in cfg.target_keywords.items()}
     rows = []
-    for t, kws in cfg.target_keywords.items():
-        pats = [cfg.keyword_flags[kw] for kw in kws]
-        cond = None
-        for p in pats:
-            c = search(txt, p)
-            cond = c if cond is None else (cond | c)
-        rows.append(F.when(cond, F.lit(t)))
-    m = pos.where(txt != "").select("order_id", *pos_key, F.left(txt, F.lit(80)).alias("snippet"),
-                                    F.explode(F.array_compact(F.array(*rows))).alias("target"))
+    for t, at in wanted.items():
+        hit = F.lit(False)
+        for i in at:
+            hit = hit | F.get("_found", F.lit(i))
+        rows.append(F.when(hit, F.lit(t)))
+    mine = pos.join(active.select("order_id").distinct(), "order_id", "left_semi")  # before any pattern is searched
+    m = mine.withColumn("_t", txt).where(F.col("_t") != "").withColumn("_found", found).select(
+        "order_id", *pos_key, F.left("_t", F.lit(80)).alias("snippet"), F.explode(F.array_compact(F.array(*rows))).alias("target"))
     m = m.join(active.select("order_id", "target"), ["order_id", "target"], "left_semi")
     first = m.groupBy("order_id", "target", "snippet").agg(F.min(F.struct(*pos_key)).alias("_pk"))
     w = Window.partitionBy("order_id", "target").orderBy("_pk")

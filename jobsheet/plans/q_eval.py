@@ -16,10 +16,10 @@ from jobsheet.config import part_catalog
 from jobsheet.functions.stats import rnd
 from jobsheet.operators import labels as L
 from jobsheet.operators import metrics as J
+from jobsheet.operators import positions as P
 from jobsheet.operators import split as E
 from jobsheet.operators import thresholds as TH
 from jobsheet.plans import sqlbase as S
-from jobsheet.plans.q_orders import features_frame
 from jobsheet.plans.q_profile import ROLL
 from jobsheet.plans.registry import query, round_doubles
 from jobsheet.session import checkpoint_dir
@@ -49,8 +49,9 @@ def _u(k) -> "F.Column":
 
 def scores_wide(spark, sf) -> DataFrame:
     """(order_id, split, target, y, hours, dur, p_lr, p_gbt)."""
-    feats = features_frame(spark, sf).select("order_id", "total_time",
-                                             *[f"time_{t}" for t in CFG.targets])
+    clean = P.clean_positions(V.positions(spark, sf), CFG)
+    times = ["total_time", *[f"time_{t}" for t in CFG.targets]]  # all that the scores need of the features
+    feats = V.order_keys(spark, sf).join(P.order_aggregates(clean, CFG).select("order_id", *times), "order_id", "left").fillna(0.0, times)
     sp = splits_frame(spark, sf).select("order_id", "split")
     d = V.targets_long(spark, sf, CFG).join(sp, "order_id").join(feats, "order_id")
     time_t = F.lit(None).cast("double")

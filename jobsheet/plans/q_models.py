@@ -365,9 +365,10 @@ LEFT JOIN sn ON a.order_id = sn.order_id AND a.target = sn.target"""
 def q_explain_orders(spark, sf):
     """H3: triggered keywords and up to three matching position texts for
     every active (order, target)."""
-    from jobsheet.plans.q_orders import texts_frame
-    tp = test_predictions(spark, sf).where(F.col("active"))
-    return H.explain(V.positions(spark, sf), texts_frame(spark, sf), tp, CFG)
+    tp = test_predictions(spark, sf).where(F.col("active")).select("order_id", "target").checkpoint()
+    orders = tp.select("order_id").distinct()
+    pos = V.positions(spark, sf).join(orders, "order_id", "left_semi")
+    return H.explain(pos, P.order_text_frame(P.clean_positions(pos, CFG), orders, CFG), tp, CFG)
 
 
 @query("batch_summary", lambda: full_eval_with() + f"""

@@ -17,7 +17,8 @@ from jobsheet.sources import json_orders as A
 from jobsheet.sources import order_view as V
 from jobsheet.sources import sinks as K
 from jobsheet.streaming import monitor as SM
-from jobsheet.streaming.sources import run_available, table_stream
+from jobsheet.sources.tables import table
+from jobsheet.streaming.sources import file_stream, replay_files, run_available, run_closed, table_stream
 
 CFG = part_catalog()
 r, big = S.r, S.big
@@ -147,3 +148,69 @@ def q_stream_rolling_prevalence_28d(spark, sf):
     """M6 baseline on the stream: 28-day windows sliding by one day."""
     return round_doubles(run_available(SM.prevalence_sliding(_events(spark, sf), "28 days", "1 day"),
                                        "prevalence28", mode="complete"))
+
+
+# ---------------------------------------------------------------- append mode: closed windows of a replay in time order
+DELAY = "8 days"  # beyond one span of the replay
+CLOSED = ", closed AS (SELECT max(ts) - INTERVAL 8 DAY AS wm FROM events)"
+
+
+def event_files(spark, sf) -> str:
+    key = (spark.sparkContext.applicationId, sf.rstrip("/") + "#events")
+    if key not in _FILES:
+        _FILES[key] = replay_files(spark, table(spark, sf, "events"), "ts", "events")
+    return _FILES[key]
+
+
+def _replay(spark, sf):
+    return SM.log_stream(file_stream(spark, event_files(spark, sf), 2), delay=DELAY)
+
+
+@query("stream_latency_sketch", lambda: LOG + CLOSED + f"""
+, b AS (SELECT day, CASE WHEN latency_ms > 0 THEN CAST(ceil(ln(latency_ms) / ln(1.01::DOUBLE / 0.99::DOUBLE)) AS INTEGER) END AS bucket, count(*) AS n
+        FROM lg, closed WHERE day + INTERVAL 1 DAY <= wm GROUP BY ALL),
+c AS (SELECT day, bucket, sum(n) OVER (PARTITION BY day ORDER BY bucket NULLS FIRST) AS below, sum(n) OVER (PARTITION BY day) AS total FROM b),
+v AS (SELECT day, any_value(total) AS n, min(coalesce(2 * pow(1.01::DOUBLE / 0.99::DOUBLE, bucket) / (1.01::DOUBLE / 0.99::DOUBLE + 1), 0)) AS value
+      FROM c WHERE below >= ceil(0.95::DOUBLE * total) GROUP BY day)
+SELECT strftime(day, '%Y-%m-%d') AS day, CAST(n AS BIGINT) AS n, {r('value')} AS p95_ms, value > 500 AS alert, value > 200 AS above_target FROM v""", "M")
+def q_stream_latency_sketch(spark, sf):
+    """M10 in append mode: p95 of closed days from a bounded sketch (values to 1 %)."""
+    buckets, _ = run_closed(SM.latency_sketch_stream(_replay(spark, sf)), "latency-sketch")
+    v = SM.sketch_quantile(buckets, "day", 0.95)
+    return round_doubles(v.select("day", "n", F.col("value").alias("p95_ms"), (F.col("value") > 500).alias("alert"), (F.col("value") > 200).alias("above_target")))
+
+
+@query("stream_error_rate_closed", lambda: LOG + CLOSED + f"""
+SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS n, {r("100.0 * avg(CAST(target = 'error' AS DOUBLE))")} AS error_pct,
+       100.0 * avg(CAST(target = 'error' AS DOUBLE)) > 5 AS alert FROM lg, closed WHERE day + INTERVAL 1 DAY <= wm GROUP BY day""", "M")
+def q_stream_error_rate_closed(spark, sf):
+    """M9 in append mode: a day is reported once, when the watermark has passed it."""
+    return round_doubles(run_closed(SM.error_rate_stream(_replay(spark, sf)), "error-rate")[0])
+
+
+@query("stream_prevalence_closed", lambda: LOG + CLOSED + f"""
+, dd AS (SELECT target, day, count(*) AS n, count_if(active) AS n_active FROM lg GROUP BY target, day),
+ends AS (SELECT DISTINCT target, day + CAST(k AS INTEGER) AS e FROM dd, range(0, 7) t(k))
+SELECT e.target, strftime(e.e, '%Y-%m-%d') AS end_day, {big('sum(d.n)')} AS n, {big('sum(d.n_active)')} AS n_active,
+       {r('100.0 * sum(d.n_active) / sum(d.n)')} AS active_pct
+FROM ends e JOIN dd d ON d.target = e.target AND d.day BETWEEN e.e - 6 AND e.e, closed WHERE e.e + INTERVAL 1 DAY <= wm GROUP BY e.target, e.e""", "M")
+def q_stream_prevalence_closed(spark, sf):
+    """M6 in append mode: 7-day windows sliding by one day, reported once they are closed."""
+    return round_doubles(run_closed(SM.prevalence_sliding(_replay(spark, sf)), "prevalence")[0])
+
+
+@query("stream_delayed_outcomes", lambda: LOG + f"""
+, j AS (SELECT *, (request_id * 7919) % 2160 AS minutes FROM lg)
+SELECT strftime(day, '%Y-%m-%d') AS day, target, CAST(count_if(active AND y = 1) AS BIGINT) AS tp, CAST(count_if(active AND y = 0) AS BIGINT) AS fp,
+       CAST(count_if(NOT active AND y = 1) AS BIGINT) AS fn, count(*) AS n,
+       {r('CASE WHEN 2*count_if(active AND y = 1) + count_if(active AND y = 0) + count_if(NOT active AND y = 1) > 0 THEN 2.0*count_if(active AND y = 1)/(2*count_if(active AND y = 1) + count_if(active AND y = 0) + count_if(NOT active AND y = 1)) ELSE 0.0 END')} AS f1
+FROM j WHERE minutes <= 1440 GROUP BY day, target""", "M")
+def q_stream_delayed_outcomes(spark, sf):
+    """Outcomes up to 36 hours after their prediction; those beyond 24 hours come too late."""
+    events = table(spark, sf, "events")
+    moved = events.withColumn("ts", F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") * 7919 % 2160).cast("int")))
+    later = replay_files(spark, moved, "ts", "outcomes")
+    base = K.shared_path(spark, "streams", f"outcomes-{uuid.uuid4().hex}")
+    outcomes = SM.log_stream(file_stream(spark, later, 2), delay=DELAY)
+    SM.delayed_outcomes(_replay(spark, sf), outcomes, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return round_doubles(SM.outcome_f1(spark, f"{base}/out"))

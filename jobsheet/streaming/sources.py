@@ -36,6 +36,38 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(path)
 
 
+def replay_files(spark: SparkSession, df: DataFrame, ts: str, name: str, spans: int = 5) -> str:
+    """``df`` as files in order of ``ts``: equal spans of time, written one after another, since a file stream
+    reads files by their age.  Within a span the order is open, so a replay needs a watermark delay beyond one span."""
+    path = shared_path(spark, "replays", f"{name}-{uuid.uuid4().hex}")
+    lo, hi = df.select(F.unix_micros(utc_instant(F.min(ts))), F.unix_micros(utc_instant(F.max(ts)))).first()
+    if lo is None:
+        df.write.parquet(path)
+        return path
+    at = F.unix_micros(utc_instant(F.col(ts)))
+    step = (hi - lo) // spans + 1
+    for k in range(spans):
+        df.where((at >= lo + k * step) & (at < lo + (k + 1) * step)).write.mode("append").parquet(path)
+    return path
+
+
+def file_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def run_closed(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Run an aggregating stream in append mode over everything available: (what closed windows hold, rows that came
+    too late for their window).  Open windows stay in the state; the file sink is exactly-once."""
+    spark = df.sparkSession
+    base = shared_path(spark, "streams", f"{name}-{uuid.uuid4().hex}")
+    spark.createDataFrame([], df.schema).write.parquet(f"{base}/none")
+    q = df.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).outputMode("append") \
+        .format("parquet").option("path", f"{base}/out").start()
+    q.awaitTermination()
+    late = sum(int(o["numRowsDroppedByWatermark"]) for p in q.recentProgress for o in p["stateOperators"])
+    return spark.read.schema(df.schema).parquet(f"{base}/out", f"{base}/none"), late
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append", run_id: str | None = None) -> DataFrame:
     """Run a streaming query over everything available (``availableNow``),
     write it to a parquet table in the shared folder, return that table.
