@@ -36,12 +36,27 @@ def _byte_alphabet() -> list[str]:
     return [chr(b if b in shown else next(free)) for b in range(256)]
 
 
+_MEMOS: list[_Memo] = []
+
+
+def only(*memos: _Memo) -> None:
+    """Empty all memos of this worker but these: a worker goes from one operator's tasks to another's, and
+    what the earlier one remembered would stay beside what the next one does."""
+    for m in _MEMOS:
+        if m and not any(m is k for k in memos):
+            m.clear()
+    if not any(m is k for e in _ENCODERS.values() for m in (e.pieces, e.words) for k in memos):
+        _ENCODERS.clear()
+        _MEMOS[:] = [m for m in _MEMOS if not isinstance(getattr(m.make, "__self__", None), TextEncoder)]
+
+
 class _Memo(dict):
     """What one function said, kept up to ``limit`` entries; then emptied, so memory is bounded."""
 
     def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit = make, limit
+        _MEMOS.append(self)
 
     def __missing__(self, key: str) -> bytes:
         if len(self) >= self.limit:
@@ -107,6 +122,7 @@ def encoder(path: str) -> TextEncoder:
     """One encoder per Python worker and tokenizer file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = TextEncoder(path)
+    only(_ENCODERS[path].pieces, _ENCODERS[path].words)
     return _ENCODERS[path]
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from jobsheet.llm.common import keep, small_batches
-from jobsheet.llm.tokens import _Memo
+from jobsheet.llm.tokens import _Memo, only
 
 BITS = 18
 STEMS = (4, 5, 6)
@@ -97,6 +97,7 @@ def held_out(id_col) -> F.Column:
 
 
 def _featurise(batches):
+    only(_HASHES)
     for b in batches:
         yield pa.RecordBatch.from_arrays(
             [b.column("h"), b.column("y"),
@@ -163,6 +164,7 @@ def score(docs: DataFrame, fitted, id_col: str = "doc_id", text_col: str = "text
     schema = source.sparkSession.createDataFrame([], f"id {source.schema['id'].dataType.simpleString()}, score double").schema
 
     def run(batches):
+        only(_HASHES)
         weights, used = dense()
         out = to_arrow_schema(schema)
         for b in batches:
@@ -180,6 +182,7 @@ def remove_toxic(docs: DataFrame, fitted, text_col: str = "text", threshold: flo
     dense = _model(docs, fitted)
 
     def run(batches):
+        only(_HASHES)
         weights, used = dense()
         for b in batches:
             yield b.filter(pa.array(_scores(b.column(text_col).to_pylist(), weights, used) < threshold))
