@@ -22,8 +22,9 @@ one; without tests every document is clean; other columns pass through.
 from __future__ import annotations
 
 import hashlib
+import io
+import json
 import os
-import pickle
 import re
 
 import numpy as np
@@ -58,43 +59,67 @@ def build_block(items: list[tuple[str | None, str | None]], window: int) -> dict
     names = sorted({i or "" for i, _ in items})
     number = {n: k for k, n in enumerate(names)}
     seqs = [(number[i or ""], [vocab.setdefault(w, len(vocab) + 1) for w in words(t)]) for i, t in items]
-    ids, at, sizes, owner, base = [], [], [], [], 0
+    ids, at, sizes, owner, place, base = [], [], [], [], [], 0
     for item, seq in seqs:
         n = len(seq)
         starts = range(max(1, n - window + 1)) if n else ()
         at += [base + s for s in starts]
         sizes += [min(window, n)] * len(starts)
         owner += [item] * len(starts)
-        ids += seq
-        base += n
+        place += starts
+        ids += [*seq, 0]  # 0 between texts: no match goes on in the next
+        base += n + 1
     if not at:
         return {"vocab": {}, "least": 0}
-    ids, at, sizes = np.array([*ids, 0], np.int64), np.array(at), np.array(sizes)
+    ids, at, sizes = np.array(ids, np.int64), np.array(at), np.array(sizes)
     low, where, inverse = np.unique(_keys(ids, at, sizes, window), return_index=True, return_inverse=True)
     pairs = np.unique(np.stack([inverse, np.array(owner)], 1), axis=0)
     sizes = sizes[where]
     high = low.astype(f"S{4 * window}").view(np.uint8).reshape(len(low), -1).copy()
     high[np.arange(4 * window) >= 4 * sizes[:, None]] = 0xFF
-    return {"vocab": vocab, "names": names, "low": low, "high": high.view(f"S{4 * window}").ravel(), "sizes": sizes,
+    order = np.argsort(inverse, kind="stable")  # every window's places in the tests
+    return {"places": at[order], "place_first": np.searchsorted(inverse[order], np.arange(len(low) + 1)), "place_item": np.array(owner)[order],
+            "place_in_item": np.array(place)[order], "vocab": vocab, "names": names, "low": low, "high": high.view(f"S{4 * window}").ravel(), "sizes": sizes,
             "first": np.searchsorted(pairs[:, 0], np.arange(len(low) + 1)), "items": pairs[:, 1],
             "least": int(sizes.min()), "window": window}
 
 
+def _save(block: dict, out) -> None:
+    """A block as plain arrays: reading it executes nothing."""
+    plain = {k: v for k, v in block.items() if k not in ("vocab", "names")}
+    words_ = np.frombuffer(b"\n".join(block["vocab"]), np.uint8)  # numbered from 1 in this order
+    buffer = io.BytesIO()
+    np.savez(buffer, words=words_, item_names=np.frombuffer(json.dumps(block["names"]).encode(), np.uint8), **plain)
+    out.write(buffer.getvalue())
+
+
+def _load(data: bytes) -> dict:
+    with np.load(io.BytesIO(data), allow_pickle=False) as f:
+        block = {k: f[k] for k in f.files}
+    block["vocab"] = {w: k for k, w in enumerate(block.pop("words").tobytes().split(b"\n"), 1)}
+    block["names"] = json.loads(block.pop("item_names").tobytes())
+    return block | {"least": int(block["least"]), "window": int(block["window"])}
+
+
 def _write_blocks(tests: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int) -> tuple[str, list[str]]:
     spark = tests.sparkSession
-    rows = tests.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter("t is not null")
+    rows = tests.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter("t is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-int(total) // block_bytes))
+    if n > 1:  # dealt once; then each block is a folder of its own
+        dealt = run_folder(spark, "benchmark-rows")
+        rows.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(n))).write.partitionBy("b").parquet(dealt)
+        rows = spark.read.parquet(dealt)
     folder = make_folder(spark, run_folder(spark, "benchmark-blocks"))
     fs, base = open_fs(folder)
     names = []
     for b in range(n if total else 0):
-        part = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()  # bounded by block_bytes
+        part = (rows if n == 1 else rows.filter(F.col("b") == b)).collect()  # bounded by block_bytes
         block = build_block([(r.i, r.t) for r in part], window)
         if block["least"]:
-            names.append(f"block-{b}.pickle")
+            names.append(f"block-{b}.npz")
             with fs.open_output_stream(os.path.join(base, names[-1])) as f:
-                f.write(pickle.dumps(block))
+                _save(block, f)
     return folder, names
 
 
@@ -107,7 +132,7 @@ def _block(folder: str, name: str) -> dict:
         _LAST.clear()  # one block at a time
         fs, base = open_fs(folder)
         with fs.open_input_stream(os.path.join(base, name)) as f:
-            _LAST[key] = pickle.loads(f.read())
+            _LAST[key] = _load(f.read())
     return _LAST[key]
 
 
@@ -127,13 +152,30 @@ def search(ids: np.ndarray, block: dict) -> tuple[np.ndarray, np.ndarray]:
     return at[np.arange(n.sum()) + np.repeat(lo - np.cumsum(n) + n, n)], test
 
 
-def _judge(docs: list[list[bytes]], folder: str, blocks: list[str]):
-    """For each document: words, hit words, longest match, sorted item ids."""
+def longest_matches(at: np.ndarray, test: np.ndarray, block: dict) -> tuple[np.ndarray, ...]:
+    """Verbatim matches as (length, place here, item, place in the item): windows at consecutive places both
+    here and in one test text are one match."""
+    n = block["place_first"][test + 1] - block["place_first"][test]
+    ends = np.cumsum(n)
+    k = np.arange(ends[-1]) - np.repeat(ends - n - block["place_first"][test], n)  # every place of every window found
+    here, size = np.repeat(at, n), np.repeat(block["sizes"][test], n)
+    lag = here - block["places"][k]
+    order = np.lexsort((here, lag))
+    here, lag, k, size = here[order], lag[order], k[order], size[order]
+    head = np.concatenate([[True], (np.diff(lag) != 0) | (np.diff(here) != 1)])
+    first = np.flatnonzero(head)
+    run = np.diff(np.append(first, len(here)))
+    return run - 1 + size[first], here[first], block["place_item"][k[first]], block["place_in_item"][k[first]]
+
+
+def _judge(docs: list[list[bytes]], folder: str, blocks: list[str], places: bool = False):
+    """For each document: words, hit words, covered words, sorted item ids, longest match (with ``places``)."""
     sizes = np.array([len(d) for d in docs])
     starts = np.cumsum(sizes + 1) - sizes - 1
     total = int((sizes + 1).sum())
     hit = np.zeros(total + 1, np.int64)
     found: list[set[str]] = [set() for _ in docs]
+    longest: list[tuple | None] = [None] * len(docs)
     for name in blocks:
         block = _block(folder, name)
         get = block["vocab"].get
@@ -146,11 +188,19 @@ def _judge(docs: list[list[bytes]], folder: str, blocks: list[str]):
         doc = np.searchsorted(starts, at, "right") - 1
         for d, t in np.unique(np.stack([doc, test], 1), axis=0).tolist():
             found[d].update(block["names"][i] for i in block["items"][block["first"][t]:block["first"][t + 1]].tolist())
+        if places:
+            length, here, item, place = longest_matches(at, test, block)
+            owner = np.searchsorted(starts, here, "right") - 1
+            for k in np.lexsort((place, item, here, -length)).tolist():  # the longest, then the first here
+                d = int(owner[k])
+                own = (-int(length[k]), int(here[k] - starts[d]), block["names"][item[k]], int(place[k]))
+                if longest[d] is None or own < longest[d]:
+                    longest[d] = own
     covered = np.cumsum(hit[:-1]) > 0
     sums = np.append(0, np.cumsum(covered))
     for d, (s, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
         n_hit = int(sums[s + n] - sums[s])
-        yield n, n_hit, covered[s:s + n] if n_hit else None, sorted(found[d])
+        yield n, n_hit, covered[s:s + n] if n_hit else None, sorted(found[d]), longest[d]
 
 
 def _spans(covered: np.ndarray | None) -> list[dict]:
@@ -177,21 +227,23 @@ def _shards(batches, text_col: str):
 def contamination(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: id, n_words, n_hit, items (sorted ids), items_sha256, spans (hit words, start and end), longest, contaminated."""
+    """Per document: id, n_words, n_hit, items (sorted ids), items_sha256, spans (hit words, start and end), longest, contaminated.
+
+    ``longest`` is the longest verbatim match with one test text (of equal ones the first here): its words, its place here and in the item."""
     small_batches(docs.sparkSession)
     folder, blocks = _write_blocks(tests, item_col, item_text_col, window, block_bytes)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ddl = (f"id {source.schema['id'].dataType.simpleString()}, n_words long, n_hit long, items array<string>,"
-           " items_sha256 string, spans array<struct<start:long,end:long>>, longest long, contaminated boolean")
+           " items_sha256 string, spans array<struct<start:long,end:long>>, longest struct<length:long,place:long,item:string,item_place:long>,"
+           " contaminated boolean")
 
     def run(batches):
         out = to_arrow_schema(schema)
         for rows, texts in _shards(batches, "text"):
             cols = [[] for _ in range(7)]
-            for n, n_hit, covered, items in _judge(texts, folder, blocks):
-                spans = _spans(covered)
-                values = (n, n_hit, items, hashlib.sha256(",".join(items).encode()).hexdigest(), spans,
-                          max((s["end"] - s["start"] for s in spans), default=0), n_hit > 0)
+            for n, n_hit, covered, items, best in _judge(texts, folder, blocks, True):
+                values = (n, n_hit, items, hashlib.sha256(",".join(items).encode()).hexdigest(), _spans(covered),
+                          best and {"length": -best[0], "place": best[1], "item": best[2], "item_place": best[3]}, n_hit > 0)
                 for c, v in zip(cols, values, strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
@@ -209,6 +261,6 @@ def remove_contaminated(docs: DataFrame, tests: DataFrame, text_col: str = "text
 
     def run(batches):
         for rows, texts in _shards(batches, text_col):
-            yield rows.filter(pa.array([n_hit == 0 for _, n_hit, _, _ in _judge(texts, folder, blocks)]))
+            yield rows.filter(pa.array([n_hit == 0 for _, n_hit, _, _, _ in _judge(texts, folder, blocks)]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -243,6 +243,36 @@ def test_surrogates(spark):
     assert len({got[i] for i in [*range(100, 126), 200]}) == 27  # more mailboxes than single letters: later attempts
 
 
+def test_longest_verbatim_match(spark):
+    rng = random.Random(9)
+    w = [f"v{k}" for k in range(60)]
+    items = [("a", " ".join(w[:14])), ("b", " ".join(w[8:20])), ("c", "short item here"), ("d", " ".join(w[30:60])), ("e", " ".join(w[30:60]))]
+    docs = [(1, "x " + " ".join(w[:20]) + " y"),  # two items of 14 and 12 words that overlap
+            (2, "so a short item here and " + " ".join(w[35:50])), (3, "nothing " + " ".join(w[:9])), (4, None), (5, " ".join(w[30:60]) + " z " + " ".join(w[30:60]))]
+    want = {1: (14, 1, "a", 0), 2: (15, 6, "d", 5), 3: None, 4: None, 5: (30, 0, "d", 0)}
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    for size in (decontaminate.BLOCK_BYTES, 30):
+        got = {r.doc_id: r.longest and tuple(r.longest) for r in decontaminate.contamination(d, b, block_bytes=size).collect()}
+        assert got == want
+    vocab = "one two three".split()  # many repeats: every common substring against brute force
+    docs = [(k, " ".join(rng.choice(vocab) for _ in range(40))) for k in range(12)]
+    items = [(str(k), " ".join(rng.choice(vocab) for _ in range(25))) for k in range(4)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    got = {r.doc_id: r.longest and tuple(r.longest) for r in decontaminate.contamination(d, b, window=4).collect()}
+    for k, text in docs:
+        x, best = text.split(), None
+        for i, t in items:
+            y = t.split()
+            for p in range(len(x)):
+                for q in range(len(y)):
+                    n = 0
+                    while p + n < len(x) and q + n < len(y) and x[p + n] == y[q + n]:
+                        n += 1
+                    if n >= 4:
+                        best = min(best or (0,), (-n, p, i, q))
+        assert got[k] == (best and (-best[0], *best[1:]))
+
+
 def test_surrogates_keep_their_form(spark):
     data = [(1, "DE89370400440532013000 GB29 NWBK 6016 1331 9268 19"), (2, "Mr ANNA SMITH-JONES met Господин Иван-Петр Волков"), (3, "Ольга@почта.рф"),
             (4, "x@" + "a." * 20_000), (5, "password=" + "x" * 30_000)]
