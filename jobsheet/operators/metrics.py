@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsheet.functions.stats import f1, precision, recall, rnd
+from jobsheet.operators.prefix import exact_quantiles
 
 
 def cascade_hours(active: Column, duration: Column) -> Column:
@@ -56,9 +57,11 @@ def total_order_mae(pred: DataFrame, key: str = "order_id", group: Sequence[str]
                     hours: str = "hours", pred_hours: str = "pred_hours") -> DataFrame:
     """MAE of the per-order totals and the medians of both totals."""
     t = pred.groupBy(*group, key).agg(F.sum(hours).alias("true_total"), F.sum(pred_hours).alias("pred_total"))
-    return t.groupBy(*group).agg(F.avg(F.abs(F.col("true_total") - F.col("pred_total"))).alias("total_mae"),
-                                 F.median("true_total").alias("median_true_total"),
-                                 F.median("pred_total").alias("median_pred_total"))
+    mae = t.groupBy(*group).agg(F.avg(F.abs(F.col("true_total") - F.col("pred_total"))).alias("total_mae"))
+    medians = [exact_quantiles(t, c, {f"median_{c}": 0.5}, group) for c in ("true_total", "pred_total")]
+    if group:
+        return mae.join(medians[0], list(group)).join(medians[1], list(group))
+    return mae.select("total_mae", *[m.scalar().alias(m.columns[0]) for m in medians])
 
 
 PER_TARGET_DIGITS = {"f1": 4, "recall": 4, "accuracy": 4, "precision": 4, "mae_e2e": 2}

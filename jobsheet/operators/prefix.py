@@ -48,3 +48,20 @@ def prefix_sums(df: DataFrame, group: Sequence[str], key: str, values: Sequence[
     j = local.join(offs, ["_chunk", *group])
     out = j.withColumns({f"cum_{v}": F.col(f"_off_{v}") + F.col(f"_run_{v}") for v in values})
     return out.drop("_chunk", *[f"_run_{v}" for v in values], *[f"_off_{v}" for v in values])
+
+
+def exact_quantiles(df: DataFrame, value: str, quantiles: dict[str, float], group: Sequence[str] = ()) -> DataFrame:
+    """Exact interpolated quantiles (name -> q) of the non-null values, per group; without a group one row (null if empty).
+
+    Values are counted, their running counts come from :func:`prefix_sums`, and each quantile is a minimum over the
+    values beyond its rank: no task holds the values of a group, as a percentile's state does."""
+    group = list(group)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = prefix_sums(counts, group, "_v", ["_n"])
+    picks = []
+    for k, q in enumerate(quantiles.values()):
+        at = F.lit(float(q)) * (F.col("tot__n") - 1)
+        picks += [F.min(F.when(F.col("cum__n") > F.floor(at), F.col("_v"))).alias(f"_lo{k}"),
+                  F.min(F.when(F.col("cum__n") > F.ceil(at), F.col("_v"))).alias(f"_hi{k}"), F.max(at - F.floor(at)).alias(f"_at{k}")]
+    found = placed.groupBy(*group).agg(*picks)
+    return found.select(*group, *[(F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * F.col(f"_at{k}")).alias(n) for k, n in enumerate(quantiles)])

@@ -18,6 +18,7 @@ from jobsheet.config import OrderConfig
 from jobsheet.functions import cleaning as C
 from jobsheet.functions.regex import search
 from jobsheet.functions.stats import sample_kurtosis, sample_skewness
+from jobsheet.operators.prefix import exact_quantiles
 
 
 # ------------------------------------------------------------ targets (K1-K6)
@@ -69,8 +70,8 @@ def target_histogram(long: DataFrame, bins: int = 30) -> DataFrame:
 def total_time_stats(rollups: DataFrame) -> DataFrame:
     """K4: statistics of the summed target hours per order."""
     t = F.col("total_hours")
-    return rollups.agg(F.avg(t).alias("mean"), F.median(t).alias("median"),
-                       F.max(t).alias("max"), F.min(t).alias("min"))
+    median = exact_quantiles(rollups, "total_hours", {"median": 0.5}).scalar()
+    return rollups.agg(F.avg(t).alias("mean"), F.max(t).alias("max"), F.min(t).alias("min")).select("mean", median.alias("median"), "max", "min")
 
 
 def total_time_histogram(rollups: DataFrame, bins: int = 50) -> DataFrame:
@@ -207,12 +208,13 @@ def numeric_distribution(pos: DataFrame) -> DataFrame:
     p, tm = _raw_num("total_price"), _raw_num("total_time")
     pp = F.when(p > 0, p)
     tt = F.when(tm > 0, tm)
+    medians = [exact_quantiles(pos.select(v.alias("v")), "v", {"median": 0.5}).scalar().alias(n) for n, v in (("median_price", pp), ("median_time", tt))]
     return pos.agg(
-        F.count(pp).alias("n_price"), F.avg(pp).alias("mean_price"), F.median(pp).alias("median_price"),
+        F.count(pp).alias("n_price"), F.avg(pp).alias("mean_price"),
         F.max(pp).alias("max_price"), F.min(pp).alias("min_price"),
-        F.count(tt).alias("n_time"), F.avg(tt).alias("mean_time"), F.median(tt).alias("median_time"),
+        F.count(tt).alias("n_time"), F.avg(tt).alias("mean_time"),
         F.max(tt).alias("max_time"), F.min(tt).alias("min_time"),
-        F.count_if(p < 0).alias("n_negative_price"))
+        F.count_if(p < 0).alias("n_negative_price")).select("*", *medians)
 
 
 # ------------------------------------------------------------ units

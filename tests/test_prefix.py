@@ -23,3 +23,19 @@ def test_prefix_sums_hot_group(spark):
     desc = prefix_sums(df, ["g"], "x", ["c"], descending=True, partitions=16).where(F.col("g") == "hot")
     first = desc.orderBy(F.desc("x")).first()
     assert first["cum_c"] == first["c"]
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from jobsheet.operators.prefix import exact_quantiles
+    rng = np.random.default_rng(2)
+    rows = [(g, float(v)) for g, n in (("a", 101), ("b", 40), ("c", 1)) for v in rng.integers(0, 30, n)] + [("a", None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    qs = {"q0": 0.0, "q5": 0.5, "q95": 0.95, "q1": 1.0}
+    for r in exact_quantiles(df, "v", qs, ["g"]).collect():
+        own = [v for g, v in rows if g == r.g and v is not None]
+        assert np.allclose([r[n] for n in qs], np.quantile(own, list(qs.values())))
+    one = exact_quantiles(df, "v", {"m": 0.5}).collect()
+    assert len(one) == 1 and np.isclose(one[0].m, np.median([v for _, v in rows if v is not None]))
+    assert exact_quantiles(df.where("g = 'd'"), "v", {"m": 0.5}).first().m is None
