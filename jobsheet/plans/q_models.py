@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsheet.config import part_catalog
+from jobsheet.operators import calibration as C
 from jobsheet.operators import labels as L
 from jobsheet.operators import learners as LR
 from jobsheet.operators import metrics as J
@@ -256,6 +257,38 @@ def q_frozen_clf_retrain_reg(spark, sf):
     return _maes(w, {(t, again.reg_kind[t]): again.reg[t] for t in CFG.targets}).withColumn("clf_kind", F.lit(again.clf_kind[CFG.targets[0]]))
 
 
+@query("isotonic_calibration", None, "F")
+def q_isotonic_calibration(spark, sf):
+    """Test scores of the logistic classifiers, calibrated by an isotonic fit on validation: (target, decile, mean score,
+    mean calibrated, share active)."""
+    w = Workspace.of(spark, sf)
+    steps = C.isotonic(LR.occurrence_scores(w.training, w.classifiers("lr"), "val"))
+    d = C.apply_isotonic(LR.occurrence_scores(w.training, w.classifiers("lr"), "test"), steps)
+    return round_doubles(d.groupBy("target", F.least(F.floor(F.col("p") * 10), F.lit(9)).cast("int").alias("decile")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("p").alias("mean_p"), F.avg("calibrated").alias("mean_calibrated"), F.avg("y").alias("share_active")))
+
+
+@query("platt_calibration", None, "F")
+def q_platt_calibration(spark, sf):
+    """Slope and offset of each target's logistic scores on validation."""
+    w = Workspace.of(spark, sf)
+    fit = C.platt(LR.occurrence_scores(w.training, w.classifiers("lr"), "val"))
+    return _fit_frame(spark, [(t, *fit[t]) for t in CFG.targets], "target string, slope double, offset double")
+
+
+@query("ridge_cross_validation", None, "G")
+def q_ridge_cross_validation(spark, sf):
+    """Five-fold error of the ridge penalties 0.1 to 1,000 on each target's training positives, and the best one."""
+    w = Workspace.of(spark, sf)
+    folded = w.training.split("train").withColumn("fold", F.pmod(F.xxhash64("order_id"), F.lit(5)))
+    rows = []
+    for k, t in enumerate(CFG.targets):
+        found = C.ridge_cross_validation(folded, k, "fold", len(w.training.features), (0.1, 1.0, 10.0, 100.0, 1000.0), 5, w.training.stats()[0]["n"])
+        best = min(found, key=lambda x: x[1])[0]
+        rows += [(t, a, rmse, worst, a == best) for a, rmse, worst in found]
+    return _fit_frame(spark, rows, "target string, alpha double, rmse double, worst_fold_mse double, best boolean")
+
+
 def raw_orders(spark, sf) -> DataFrame:
     """Raw order documents (order_id, make, positions) of the order view, positions in their order."""
     item = F.struct(F.col("text"), F.col("total_price").cast("string").alias("totalPrice"), F.col("total_time").cast("string").alias("totalTime"),
