@@ -34,6 +34,7 @@ from jobsheet.llm.tokens import _Memo, only
 BITS = 18
 STEMS = (4, 5, 6)
 MAX_TRAIN = 12_000  #: labelled rows that the fit reads
+MAX_TRAIN_BYTES = 128 << 20  #: of their features (4 bytes each); rows beyond, in hash order, are left out
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 6.0, 1.0
 NO_LABELS = -1e-9
@@ -106,12 +107,17 @@ def _featurise(batches):
 
 
 def _fit(batches):
-    rows = [(np.append(np.frombuffer(x, "<i4").astype(np.int64), 1 << BITS), y)
-            for b in batches for y, x in zip(b.column("y").to_pylist(), b.column("x").to_pylist(), strict=True)]
-    model, rng = Ftrl(), np.random.default_rng(7)
+    rows, size = [], 0  # 4 bytes a place, as they came
+    for b in batches:
+        for y, x in zip(b.column("y").to_pylist(), b.column("x").to_pylist(), strict=True):
+            size += len(x)
+            if size <= MAX_TRAIN_BYTES:
+                rows.append((x, y))
+    model, rng, bias = Ftrl(), np.random.default_rng(7), np.array([1 << BITS], "<i4")
     for _ in range(EPOCHS):
         for k in rng.permutation(len(rows)).tolist():
-            model.learn(*rows[k])
+            x, y = rows[k]
+            model.learn(np.concatenate([np.frombuffer(x, "<i4"), bias]).astype(np.int64), y)
     i, w = model.sparse()
     yield pa.RecordBatch.from_arrays([pa.array([i.astype("<i8").tobytes()]), pa.array([w.astype("<f8").tobytes()])], names=["i", "w"])
 
