@@ -286,9 +286,8 @@ def spearman_matrix(feats: DataFrame, long: DataFrame, feature_cols: Sequence[st
     tl = long.where(F.col("hours") > 0).select(key, "target", F.col("hours").alias("y"))
     cnt = tl.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
     tl = tl.join(cnt.where(F.col("n") >= min_n), "target").drop("n")
-    j = fl.join(tl, key)
-    j = average_rank(j, ["feature", "target"], "x", "rx")
-    j = average_rank(j, ["feature", "target"], "y", "ry")
+    tl = average_rank(tl, ["target"], "y", "ry")  # every order has every feature, so y's ranks are the same for all
+    j = average_rank(fl.join(tl.select(key, "target", "ry"), key), ["feature", "target"], "x", "rx")
     g = j.groupBy("feature", "target").agg(
         F.count(F.lit(1)).alias("n"), F.corr("rx", "ry").alias("_r"),
         F.stddev_pop("rx").alias("_sx"), F.stddev_pop("ry").alias("_sy"))
