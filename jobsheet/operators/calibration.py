@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +119,7 @@ def platt(scores: DataFrame, group: str = "target", y: str = "y", p: str = "p",
 def ridge_cross_validation(df: DataFrame, label: int, fold: str, features: int, alphas: Sequence[float], folds: int, n_rows: int) -> list[tuple[float, float, float]]:
     """(alpha, RMSE, MSE of the worst fold) of a ridge on the rows with label > 0, each fold predicted by the others.
 
-    ``fold`` numbers each row's fold from 0.  The driver holds folds x features^2 numbers."""
+    ``fold`` numbers each row's fold from 0.  A task holds folds x features^2 numbers, the driver features^2."""
     rows = df.select("idx", "val", F.array(F.get("labels", F.lit(label)), F.col(fold).cast("double")).alias("labels"))
     size = features + 2
 
@@ -130,22 +131,33 @@ def ridge_cross_validation(df: DataFrame, label: int, fold: str, features: int,
                 own = z[(b.labels[:, 0] > 0) & (b.labels[:, 1] == k)]
                 total[k] += own.T @ own
         yield total
-    gram = row_blocks(rows, 2, n_rows).mapPartitions(part).treeReduce(lambda a, b: a + b)
-    whole = gram.sum(0)
-    errors = np.zeros((len(alphas), folds))
-    for k in range(folds):
-        left = whole - gram[k]
-        n = max(left[0, 0], 1.0)
-        mean = left[0, 1:-1] / n
-        cov = left[1:-1, 1:-1] - n * np.outer(mean, mean)
-        xy = left[1:-1, -1] - mean * left[0, -1]
-        values, vectors = np.linalg.eigh(cov)
-        turned = vectors.T @ xy
-        for j, alpha in enumerate(alphas):
-            w = vectors @ (turned / (np.maximum(values, 0) + alpha))
-            v = np.concatenate([[left[0, -1] / n - mean @ w], w, [-1.0]])
-            errors[j, k] = max(0.0, float(v @ gram[k] @ v))
-    n = np.maximum(gram[:, 0, 0], 1.0)
+    blocks = row_blocks(rows, 2, n_rows)
+    few = blocks.coalesce(min(blocks.getNumPartitions(), blocks.ctx.defaultParallelism))  # one set of matrices a core, whatever the rows
+    grams = few.mapPartitions(lambda found: enumerate(next(part(found)))).reduceByKey(lambda a, b: a + b, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        whole = grams.values().treeReduce(lambda a, b: a + b)
+
+        def tested(pair):
+            """The fold's number, rows, and error of each penalty when it is left out."""
+            k, gram = pair
+            left = whole - gram
+            n = max(left[0, 0], 1.0)
+            mean = left[0, 1:-1] / n
+            cov = left[1:-1, 1:-1] - n * np.outer(mean, mean)
+            xy = left[1:-1, -1] - mean * left[0, -1]
+            values, vectors = np.linalg.eigh(cov)
+            turned = vectors.T @ xy
+            out = []
+            for alpha in alphas:
+                w = vectors @ (turned / (np.maximum(values, 0) + alpha))
+                v = np.concatenate([[left[0, -1] / n - mean @ w], w, [-1.0]])
+                out.append(max(0.0, float(v @ gram @ v)))
+            return k, float(gram[0, 0]), out
+        found = sorted(grams.map(tested).collect())  # a few numbers for each fold
+    finally:
+        grams.unpersist()
+    errors = np.array([e for _, _, e in found]).T
+    n = np.maximum([c for _, c, _ in found], 1.0)
     return [(float(a), float(np.sqrt(e.sum() / max(whole[0, 0], 1.0))), float((e / n).max())) for a, e in zip(alphas, errors)]
 
 

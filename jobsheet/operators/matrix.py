@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Rows in a block; a partition has at least one block, so small tables use few tasks.
 BLOCK_ROWS = 2048
+#: Rows in a partition: each sends one set of sums a pass, so partitions are as few as keep all cores busy.
+PARTITION_ROWS = 32 * BLOCK_ROWS
 #: Rows of a partition where there are fewer blocks than cores.
 SMALL_ROWS = 512
 
@@ -70,7 +72,8 @@ def _pack(batches):
 def row_blocks(df: DataFrame, targets: int, n_rows: int) -> RDD:
     """``df`` (idx array<int>, val array<double>, labels array<double>) as an RDD of :class:`Rows`."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, -(-n_rows // BLOCK_ROWS), min(cores, n_rows // SMALL_ROWS))
+    parts = max(1, -(-n_rows // PARTITION_ROWS), min(cores, n_rows // SMALL_ROWS))
+    parts = -(-parts // cores) * cores if parts > cores else parts
     packed = df.select("idx", "val", "labels").repartition(parts).mapInArrow(_pack, "block binary").rdd
 
     def unpack(row):
