@@ -145,11 +145,11 @@ def ridge_cross_validation(df: DataFrame, label: int, fold: str, features: int,
             mean = left[0, 1:-1] / n
             cov = left[1:-1, 1:-1] - n * np.outer(mean, mean)
             xy = left[1:-1, -1] - mean * left[0, -1]
-            values, vectors = np.linalg.eigh(cov)
-            turned = vectors.T @ xy
             out = []
             for alpha in alphas:
-                w = vectors @ (turned / (np.maximum(values, 0) + alpha))
+                own = cov + alpha * np.eye(features)
+                scale = 1 / np.sqrt(np.maximum(np.diag(own), 1e-300))  # prices and shares: each feature to its own scale
+                w = scale * np.linalg.solve(own * np.outer(scale, scale), scale * xy)
                 v = np.concatenate([[left[0, -1] / n - mean @ w], w, [-1.0]])
                 out.append(max(0.0, float(v @ gram @ v)))
             return k, float(gram[0, 0]), out
