@@ -50,12 +50,21 @@ def order_files(spark, sf) -> str:
     if key not in _FILES:
         path = K.shared_path(spark, "fixtures", f"orders-{uuid.uuid4().hex}")
         K.order_documents(V.positions(spark, sf), V.headers(spark, sf), V.targets_wide(spark, sf, CFG), CFG.targets) \
-            .repartition(4).write.text(path)
+            .write.option("maxRecordsPerFile", FILE_DOCUMENTS).text(path)
         _FILES[key] = path
     return _FILES[key]
 
 
 _FILES: dict[tuple[str, str], str] = {}
+#: Documents in one file: the files grow in number with the orders, not in size.
+FILE_DOCUMENTS = 50_000
+#: Micro-batches that a replay of the order documents is dealt into.
+BATCHES = 4
+
+
+def order_replay(spark, path: str):
+    """The files as a stream of some :data:`BATCHES` micro-batches, whatever their number."""
+    return order_stream(spark, path, max(1, -(-len(spark.read.text(path).inputFiles()) // BATCHES)))
 
 
 def order_stream(spark, path: str, files: int = 1):
@@ -67,7 +76,7 @@ def order_stream(spark, path: str, files: int = 1):
 def q_score_stream(spark, sf):
     """H7 features: order documents arriving as files are featurised per document
     (stateless) and land in a parquet sink; equals the batch features."""
-    out = run_available(SM.feature_stream(order_stream(spark, order_files(spark, sf)), CFG), "score_stream")
+    out = run_available(SM.feature_stream(order_replay(spark, order_files(spark, sf)), CFG), "score_stream")
     return round_doubles(out.select("order_id", *STREAM_FEATURES))
 
 
@@ -76,7 +85,7 @@ def q_score_stream_orders(spark, sf):
     """H7: order documents arriving as files are scored by the bundle that is current for their micro-batch."""
     from jobsheet.plans.q_models import Workspace, bundle_root
     root, base = bundle_root(spark, sf), K.shared_path(spark, "streams", f"scores-{uuid.uuid4().hex}")
-    SM.score_order_stream(order_stream(spark, order_files(spark, sf)), root, f"{base}/out", f"{base}/checkpoint", CFG).awaitTermination()
+    SM.score_order_stream(order_replay(spark, order_files(spark, sf)), root, f"{base}/out", f"{base}/checkpoint", CFG).awaitTermination()
     scored = spark.read.parquet(f"{base}/out")
     targets = Workspace.of(spark, sf).training.targets
     return scored.select("order_id", F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"), "response", "model_version").select(
