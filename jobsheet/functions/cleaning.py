@@ -6,16 +6,18 @@ plain cast of ``"abc"`` would fail the whole job instead of nulling one cell.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Python's str.strip() removes every Unicode white-space character; Java's
-# \s only does so under UNICODE_CHARACTER_CLASS, hence (?U).
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's str.strip() removes every Unicode white-space character; these are what
+# Java's \s matches under UNICODE_CHARACTER_CLASS.  A trim looks at the ends of a text
+# only, a pattern at every place of it.
+_EDGE_WS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_WS, "")
+    return F.btrim(c, F.lit(_EDGE_WS))
 
 
 def clean_text(c: Column) -> Column:
@@ -23,9 +25,16 @@ def clean_text(c: Column) -> Column:
     return strip(F.coalesce(c.cast("string"), F.lit("")))
 
 
-def to_double(c: Column) -> Column:
+def is_double(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.DoubleType)
+
+
+def to_double(c: Column, double: bool = False) -> Column:
     """Numeric or numeric string -> double; anything else -> null, also the
-    JVM's own suffixes and hexadecimal forms (``90d``, ``1.5f``, ``0x1p3``)."""
+    JVM's own suffixes and hexadecimal forms (``90d``, ``1.5f``, ``0x1p3``).
+    ``double``: the column is of that type, so its text would read back as itself."""
+    if double:
+        return c
     s = c.cast("string")
     return F.when(~s.rlike(r"(?i)0x|[0-9.][df]\s*$"), s.try_cast("double"))
 
@@ -35,14 +44,15 @@ def _clamped(v: Column) -> Column:
     return F.greatest(F.lit(0.0), F.nanvl(F.coalesce(v, F.lit(0.0)), F.lit(0.0)))
 
 
-def clean_price(c: Column) -> Column:
+def clean_price(c: Column, double: bool = False) -> Column:
     """``max(0.0, float(x or 0))``"""
-    return _clamped(to_double(c))
+    return _clamped(to_double(c, double))
 
 
-def clean_time(c: Column, clamp: bool = False) -> Column:
+def clean_time(c: Column, clamp: bool = False, double: bool = False) -> Column:
     """``float(x or 0)``; batch mode keeps negatives, API mode clamps them."""
-    return _clamped(to_double(c)) if clamp else F.coalesce(to_double(c), F.lit(0.0))
+    v = to_double(c, double)
+    return _clamped(v) if clamp else F.coalesce(v, F.lit(0.0))
 
 
 def clean_cost_center(c: Column, unknown: str = "unknown_cc", blank_is_null: bool = False) -> Column:

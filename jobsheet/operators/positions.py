@@ -43,11 +43,11 @@ def clean_positions(pos: DataFrame, cfg: OrderConfig, clamp_time: bool = False,
     """
     cleaned = pos.withColumns({
         "text": C.clean_text(F.col("text")),
-        "total_price": C.clean_price(F.col("total_price")),
-        "total_time": C.clean_time(F.col("total_time"), clamp=clamp_time),
+        "total_price": C.clean_price(F.col("total_price"), C.is_double(pos, "total_price")),
+        "total_time": C.clean_time(F.col("total_time"), clamp_time, C.is_double(pos, "total_time")),
         "cost_center": C.clean_cost_center(F.col("cost_center"), cfg.unknown_cc, blank_cc_is_null),
     })
-    keep = (F.col("text") != "") | (F.col("total_price") != 0) | (F.col("total_time") != 0)
+    keep = (F.col("total_price") != 0) | (F.col("total_time") != 0) | (F.col("text") != "")  # the text is cleaned where the numbers don't decide
     return cleaned.where(keep)
 
 

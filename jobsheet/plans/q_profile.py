@@ -372,6 +372,10 @@ def _rn(spark, sf):
     return K.rule_numerators(V.positions(spark, sf), V.order_keys(spark, sf), CFG)
 
 
+def _rule_rows(spark, sf):
+    return K.rule_rows(V.positions(spark, sf), V.order_keys(spark, sf), CFG)
+
+
 @query("rule_baseline", lambda: S.with_(S.POS_RAW, S.HDR, rule_num_sql()) + f"""
 SELECT order_id, target, {r(_rule_pred('10.0'))} AS rule_hours FROM rn""", "K")
 def q_rule_baseline(spark, sf):
@@ -402,7 +406,7 @@ SELECT conversion_factor, factor_idx, {r('mae')} AS mae, {r('rmse')} AS rmse,
        {r('CASE WHEN tp+fn > 0 THEN tp/(tp+fn) ELSE 0.0 END')} AS recall
 FROM grid""", "K")
 def q_conversion_grid(spark, sf):
-    return round_doubles(K.conversion_grid(_rn(spark, sf), _long(spark, sf), CFG))
+    return round_doubles(K.conversion_grid(_rule_rows(spark, sf), V.targets_wide(spark, sf, CFG), CFG))
 
 
 @query("rule_scores_per_target", lambda: S.with_(S.POS_RAW, S.HDR, S.targets_wide(CFG), S.targets_long(CFG),
@@ -414,7 +418,7 @@ SELECT target, best_factor, {r('avg(abs(pred - hours))')} AS mae,
        {r('CASE WHEN 2*count_if(pred > 0 AND hours > 0) + count_if(pred > 0 AND NOT hours > 0) + count_if(NOT pred > 0 AND hours > 0) > 0 THEN 2.0*count_if(pred > 0 AND hours > 0) / (2*count_if(pred > 0 AND hours > 0) + count_if(pred > 0 AND NOT hours > 0) + count_if(NOT pred > 0 AND hours > 0)) ELSE 0.0 END')} AS f1
 FROM pp GROUP BY target, best_factor""", "K")
 def q_rule_scores_per_target(spark, sf):
-    return round_doubles(K.rule_scores_per_target(_rn(spark, sf), _long(spark, sf), CFG))
+    return round_doubles(K.rule_scores_per_target(_rule_rows(spark, sf), V.targets_wide(spark, sf, CFG), CFG))
 
 
 # ---------------------------------------------------------------- K23
