@@ -186,7 +186,7 @@ def q_read_embeddings(spark, sf):
 @query("write_metric_csv", lambda: _wrap_sql("split_metrics_table"), "A")
 def q_write_metric_csv(spark, sf):
     """The val and test metric tables unioned and written as CSV."""
-    m = q_split_metrics_table(spark, sf)
+    m = K.kept(q_split_metrics_table(spark, sf), "split-metrics")  # a row per split and target, read twice
     path = K.shared_path(spark, "metric_csv", _sfname(sf))
     K.write_metric_csv([m.where(F.col("split") == "val"), m.where(F.col("split") == "test")], path)
     return K.read_metric_csv(spark, path, "split string, target string, threshold double, precision double, "
@@ -251,9 +251,10 @@ SELECT 'val' AS split, target, model, {r('threshold')} AS threshold FROM best
 UNION ALL SELECT 'chosen', target, model, {r('threshold')} FROM chosen""", "I")
 def q_union_tables(spark, sf):
     """Two result tables stacked by name with a tag column."""
-    from jobsheet.plans.q_eval import best_thresholds, chosen
-    a = best_thresholds(spark, sf).select(F.lit("val").alias("split"), "target", "model", "threshold")
-    b = chosen(spark, sf).select(F.lit("chosen").alias("split"), "target", "model", "threshold")
+    from jobsheet.plans.q_eval import best_thresholds, chosen, scores_long
+    scores = scores_long(spark, sf)
+    a = best_thresholds(spark, sf, scores).select(F.lit("val").alias("split"), "target", "model", "threshold")
+    b = chosen(spark, sf, scores).select(F.lit("chosen").alias("split"), "target", "model", "threshold")
     return round_doubles(a.unionByName(b))
 
 

@@ -4,6 +4,7 @@ order view.  Every path is under the cluster's shared checkpoint folder
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a table in the shared folder and read back: the lineage is cut, each row is made once
+    (a checkpoint makes the last stage's rows twice) and later reads take only the columns they need."""
+    path = shared_path(df.sparkSession, "kept", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_metrics(metrics: DataFrame, path: str, slot: str, model_version: str, fmt: str = "json") -> None:
     """A10: metrics partitioned by (slot, model_version); re-running a slot
     replaces only that partition (dynamic partition overwrite)."""
