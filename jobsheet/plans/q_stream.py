@@ -18,7 +18,7 @@ from jobsheet.sources import order_view as V
 from jobsheet.sources import sinks as K
 from jobsheet.streaming import monitor as SM
 from jobsheet.sources.tables import table
-from jobsheet.streaming.sources import file_stream, replay_files, run_available, run_closed, table_stream
+from jobsheet.streaming.sources import replay_files, replay_stream, run_available, run_closed, table_stream
 
 CFG = part_catalog()
 r, big = S.r, S.big
@@ -172,7 +172,7 @@ def event_files(spark, sf) -> str:
 
 
 def _replay(spark, sf):
-    return SM.log_stream(file_stream(spark, event_files(spark, sf), 2), delay=DELAY)
+    return SM.log_stream(replay_stream(spark, event_files(spark, sf)), delay=DELAY)
 
 
 @query("stream_latency_sketch", lambda: LOG + CLOSED + f"""
@@ -220,6 +220,6 @@ def q_stream_delayed_outcomes(spark, sf):
     moved = events.withColumn("ts", F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") * 7919 % 2160).cast("int")))
     later = replay_files(spark, moved, "ts", "outcomes")
     base = K.shared_path(spark, "streams", f"outcomes-{uuid.uuid4().hex}")
-    outcomes = SM.log_stream(file_stream(spark, later, 2), delay=DELAY)
+    outcomes = SM.log_stream(replay_stream(spark, later), delay=DELAY)
     SM.delayed_outcomes(_replay(spark, sf), outcomes, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return round_doubles(SM.outcome_f1(spark, f"{base}/out"))

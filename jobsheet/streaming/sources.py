@@ -8,6 +8,7 @@ independent of the session time zone).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,13 +45,25 @@ def replay_files(spark: SparkSession, df: DataFrame, ts: str, name: str, spans:
     if lo is None:
         df.write.parquet(path)
         return path
-    at = F.unix_micros(utc_instant(F.col(ts)))
+    at = F.col(ts).cast("timestamp_ntz")  # against constants: no row's time becomes a text, and the reader can skip what lies outside
     step = (hi - lo) // spans + 1
-    for k in range(spans):
-        df.where((at >= lo + k * step) & (at < lo + (k + 1) * step)).write.mode("append").parquet(path)
+    edges = [F.lit("1970-01-01").cast("timestamp_ntz") + F.lit(dt.timedelta(microseconds=lo + k * step)) for k in range(spans + 1)]
+    for since, until in zip(edges[:-1], edges[1:], strict=True):
+        df.where((at >= since) & (at < until)).write.mode("append").parquet(path)
     return path
 
 
+#: Micro-batches that a replay in time order is dealt into, as many as its spans.
+REPLAY_BATCHES = 5
+
+
+def replay_stream(spark: SparkSession, path: str, batches: int = REPLAY_BATCHES) -> DataFrame:
+    """The files of :func:`replay_files` as a stream of some ``batches`` micro-batches, however many files the spans have
+    (each micro-batch commits every partition of the state); two files a micro-batch at least."""
+    files = len(spark.read.parquet(path).inputFiles())
+    return file_stream(spark, path, max(2, -(-files // batches)))
+
+
 def file_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
 
