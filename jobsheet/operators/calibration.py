@@ -15,10 +15,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from jobsheet.operators.linear import _full
 from jobsheet.operators.matrix import Rows, row_blocks
 
 
@@ -75,14 +77,34 @@ def isotonic(scores: DataFrame, group: str = "target", y: str = "y", p: str = "p
 
 def apply_isotonic(scores: DataFrame, steps: DataFrame, group: str = "target", p: str = "p", out: str = "calibrated") -> DataFrame:
     """Each score's calibrated value: that of its step, between steps a straight line, beyond the ends the last value."""
-    s = steps.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "value"))).alias("_s"))  # a group's steps
-    x = F.col(p).cast("double")
-    below = F.element_at(F.filter("_s", lambda k: k["lo"] <= x), -1)
-    above = F.get(F.filter("_s", lambda k: k["lo"] > x), F.lit(0))
-    j = scores.join(s, group, "left").withColumn("_b", F.when(F.size(F.filter("_s", lambda k: k["lo"] <= x)) > 0, below)).withColumn("_a", above)
-    line = F.col("_b.value") + (F.col("_a.value") - F.col("_b.value")) * (x - F.col("_b.hi")) / (F.col("_a.lo") - F.col("_b.hi"))
-    value = F.when(F.col("_b").isNull(), F.col("_a.value")).when((x <= F.col("_b.hi")) | F.col("_a").isNull(), F.col("_b.value")).otherwise(line)
-    return j.withColumn(out, value).drop("_s", "_a", "_b")
+    names = [c for c in scores.columns if c != out]
+    found = steps.select(group, "lo", "hi", "value").toPandas()  # of 0 / 1 outcomes n^(2/3) steps at most, far fewer than the rows
+    held = {g: tuple(s[c].to_numpy(float) for c in ("lo", "hi", "value")) for g, s in found.sort_values("lo").groupby(group)}
+    shared = scores.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches):
+        for b in batches:
+            x, known = b.column("_x").to_numpy(zero_copy_only=False).astype(float), b.column("_x").is_valid().to_numpy(zero_copy_only=False)
+            value, none = np.zeros(b.num_rows), np.ones(b.num_rows, bool)
+            code = b.column(group).dictionary_encode()
+            of = code.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            for k, g in enumerate(code.dictionary.to_pylist()):
+                if g in shared.value:
+                    here = np.flatnonzero((of == k) & known)
+                    value[here], none[here] = _between(x[here], *shared.value[g]), False
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(value, mask=none)], names=[*names, out])
+    schema = T.StructType([*scores.select(*names).schema.fields, T.StructField(out, T.DoubleType())])
+    return scores.select(*names, F.col(p).cast("double").alias("_x")).mapInArrow(run, schema)
+
+
+def _between(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The value of each x: that of the last step that begins at or before it, a straight line after that step's end."""
+    at = np.searchsorted(lo, x, side="right") - 1  # NaN comes after all
+    below, above = np.maximum(at, 0), np.minimum(at + 1, len(lo) - 1)
+    flat = (at < 0) | (x <= hi[below]) | (at + 1 == len(lo))
+    gap = np.where(flat, 1.0, lo[above] - hi[below])
+    line = value[below] + (value[above] - value[below]) * (x - hi[below]) / gap
+    return np.where(flat, value[below], line)
 
 
 # ------------------------------------------------------------------ Platt
@@ -98,7 +120,11 @@ def platt(scores: DataFrame, group: str = "target", y: str = "y", p: str = "p",
             break
 
         def of(values):
-            return F.create_map(*[v for g in sorted(open_, key=str) for v in (F.lit(g), F.lit(float(values(g))))])[F.col(group)]
+            first, *rest = sorted(open_, key=str)
+            c = F.when(F.col(group) == F.lit(first), F.lit(float(values(first))))
+            for g in rest:
+                c = c.when(F.col(group) == F.lit(g), F.lit(float(values(g))))
+            return c
         z = of(lambda g: fit[g][0]) * x + of(lambda g: fit[g][1])
         q = 1 / (1 + F.exp(-z))
         t = F.when(label == 1, of(lambda g: (counts[g]["n1"] + 1) / (counts[g]["n1"] + 2))).otherwise(of(lambda g: 1 / (counts[g]["n0"] + 2)))
@@ -119,43 +145,66 @@ def platt(scores: DataFrame, group: str = "target", y: str = "y", p: str = "p",
 def ridge_cross_validation(df: DataFrame, label: int, fold: str, features: int, alphas: Sequence[float], folds: int, n_rows: int) -> list[tuple[float, float, float]]:
     """(alpha, RMSE, MSE of the worst fold) of a ridge on the rows with label > 0, each fold predicted by the others.
 
-    ``fold`` numbers each row's fold from 0.  A task holds folds x features^2 numbers, the driver features^2."""
+    ``fold`` numbers each row's fold from 0."""
     rows = df.select("idx", "val", F.array(F.get("labels", F.lit(label)), F.col(fold).cast("double")).alias("labels"))
+    return ridge_cross_validations(row_blocks(rows, 2, n_rows), [0], features, alphas, folds)[0]
+
+
+#: Bytes of the Gram matrices in a task.
+HELD = 256 << 20
+
+
+def ridge_cross_validations(blocks: RDD, labels: Sequence[int], features: int, alphas: Sequence[float], folds: int) -> list[list[tuple[float, float, float]]]:
+    """:func:`ridge_cross_validation` of several labels over blocks whose last label is the fold: a pass serves as many
+    labels as have room for their folds x features^2 numbers, of which half are sent; the driver holds features^2."""
+    each = max(1, HELD // (8 * folds * (features + 2) ** 2))
+    few = blocks.coalesce(min(blocks.getNumPartitions(), blocks.ctx.defaultParallelism))  # one set of matrices a core, whatever the rows
+    return [r for at in range(0, len(labels), each) for r in _cross_validated(few, list(labels)[at:at + each], features, alphas, folds)]
+
+
+def _cross_validated(few: RDD, labels: list[int], features: int, alphas: Sequence[float], folds: int) -> list[list[tuple[float, float, float]]]:
     size = features + 2
+    upper = np.triu_indices(size)
 
-    def part(blocks):
-        total = np.zeros((folds, size, size))
-        for b in blocks:
+    def part(found):
+        total = np.zeros((len(labels), folds, size, size))
+        for b in found:
             z = _augmented(b, features)
-            for k in range(folds):
-                own = z[(b.labels[:, 0] > 0) & (b.labels[:, 1] == k)]
-                total[k] += own.T @ own
-        yield total
-    blocks = row_blocks(rows, 2, n_rows)
-    few = blocks.coalesce(min(blocks.getNumPartitions(), blocks.ctx.defaultParallelism))  # one set of matrices a core, whatever the rows
-    grams = few.mapPartitions(lambda found: enumerate(next(part(found)))).reduceByKey(lambda a, b: a + b, folds).persist(StorageLevel.MEMORY_AND_DISK)
+            for j, label in enumerate(labels):
+                z[:, -1] = y = b.labels[:, label]
+                for k in range(folds):
+                    own = z[(y > 0) & (b.labels[:, -1] == k)]
+                    total[j, k] += own.T @ own
+        for j in range(len(labels)):
+            yield from (((j, k), total[j, k][upper]) for k in range(folds))
+    grams = few.mapPartitions(part).reduceByKey(lambda a, b: a + b, len(labels) * folds).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        whole = grams.values().treeReduce(lambda a, b: a + b)
-
-        def tested(pair):
-            """The fold's number, rows, and error of each penalty when it is left out."""
-            k, gram = pair
-            left = whole - gram
-            n = max(left[0, 0], 1.0)
-            mean = left[0, 1:-1] / n
-            cov = left[1:-1, 1:-1] - n * np.outer(mean, mean)
-            xy = left[1:-1, -1] - mean * left[0, -1]
-            out = []
-            for alpha in alphas:
-                own = cov + alpha * np.eye(features)
-                scale = 1 / np.sqrt(np.maximum(np.diag(own), 1e-300))  # prices and shares: each feature to its own scale
-                w = scale * np.linalg.solve(own * np.outer(scale, scale), scale * xy)
-                v = np.concatenate([[left[0, -1] / n - mean @ w], w, [-1.0]])
-                out.append(max(0.0, float(v @ gram @ v)))
-            return k, float(gram[0, 0]), out
-        found = sorted(grams.map(tested).collect())  # a few numbers for each fold
+        return [_tested(grams.filter(lambda p, j=j: p[0][0] == j).map(lambda p: (p[0][1], p[1])), features, alphas) for j in range(len(labels))]
     finally:
         grams.unpersist()
+
+
+def _tested(grams: RDD, features: int, alphas: Sequence[float]) -> list[tuple[float, float, float]]:
+    """(alpha, RMSE, MSE of the worst fold) from the Gram matrix of each fold."""
+    whole = _full(grams.values().treeReduce(lambda a, b: a + b))
+
+    def tested(pair):
+        """The fold's number, rows, and error of each penalty when it is left out."""
+        k, gram = pair[0], _full(pair[1])
+        left = whole - gram
+        n = max(left[0, 0], 1.0)
+        mean = left[0, 1:-1] / n
+        cov = left[1:-1, 1:-1] - n * np.outer(mean, mean)
+        xy = left[1:-1, -1] - mean * left[0, -1]
+        out = []
+        for alpha in alphas:
+            own = cov + alpha * np.eye(features)
+            scale = 1 / np.sqrt(np.maximum(np.diag(own), 1e-300))  # prices and shares: each feature to its own scale
+            w = scale * np.linalg.solve(own * np.outer(scale, scale), scale * xy)
+            v = np.concatenate([[left[0, -1] / n - mean @ w], w, [-1.0]])
+            out.append(max(0.0, float(v @ gram @ v)))
+        return k, float(gram[0, 0]), out
+    found = sorted(grams.map(tested).collect())  # a few numbers for each fold
     errors = np.array([e for _, _, e in found]).T
     n = np.maximum([c for _, c, _ in found], 1.0)
     return [(float(a), float(np.sqrt(e.sum() / max(whole[0, 0], 1.0))), float((e / n).max())) for a, e in zip(alphas, errors)]
